@@ -53,30 +53,34 @@ def search_text(title: Column | str = "title", summary: Column | str = "summary"
     return F.lower(title_and_summary(title, summary))
 
 
-def _entity_names() -> dict[str, str]:
-    """Named character references of HTML, the frequent ones first since look-up is linear."""
-    first = ["amp", "lt", "gt", "quot", "apos", "nbsp", "copy", "middot", "ndash", "mdash",
-             "rsquo", "lsquo", "rdquo", "ldquo", "hellip", "eacute", "egrave", "agrave"]
-    names = {n[:-1]: text for n, text in html5.items() if n.endswith(";")}
-    return {n: names[n] for n in first} | names
+# Frequent entities come first, since the look-up is linear.
+_ENTITIES = {n: html5[n + ";"] for n in "amp lt gt quot apos nbsp copy middot ndash mdash hellip".split()}
+_ENTITIES |= {n[:-1]: text for n, text in html5.items() if n.endswith(";")}
+
+
+def _entity_table() -> Column:
+    """Named character references as a map; two texts which Spark folds into one constant."""
+    split = [F.split(F.lit("\x1f".join(part)), "\x1f") for part in (_ENTITIES.keys(), _ENTITIES.values())]
+    return F.map_from_arrays(*split)
 
 
 def decode_entities(c: Column | str) -> Column:
     """Replace character references once, from left to right, so ``&amp;lt;`` gives ``&lt;``."""
-    table = F.create_map(*[F.lit(x) for pair in _entity_names().items() for x in pair])
+    table = _entity_table()
 
     def decode(piece: Column) -> Column:
         name = F.regexp_extract(piece, r"^&(#?[0-9A-Za-z]+);", 1)
-        rest = F.substr(piece, F.length(name) + F.lit(3))
+        return let(name, lambda n: F.when(n == "", piece).otherwise(F.coalesce(
+            F.concat(F.when(n.startswith("#"), numbered(n)).otherwise(F.try_element_at(table, n)),
+                     F.substr(piece, F.length(n) + F.lit(3))), piece)))
+
+    def numbered(name: Column) -> Column:
         code = (F.when(name.rlike("^#[0-9]{1,7}$"), F.substr(name, F.lit(2)).try_cast("int"))
                 .when(name.rlike("^#[xX][0-9A-Fa-f]{1,6}$"),
                       F.conv(F.substr(name, F.lit(3)), 16, 10).try_cast("int")))
-        point = F.when(code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF), code).otherwise(0xFFFD)
         # decode() of the four UTF-32 bytes is the built-in way from a code point to text
-        numeric = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
-        return (F.when(name == "", piece)
-                .when(code.isNotNull(), F.concat(numeric, rest))
-                .otherwise(F.coalesce(F.concat(F.try_element_at(table, name), rest), piece)))
+        return let(code, lambda c: F.when(c.isNotNull(), F.decode(F.unhex(F.lpad(F.hex(
+            F.when(c.between(1, 0x10FFFF) & ~c.between(0xD800, 0xDFFF), c).otherwise(0xFFFD)), 8, "0")), "UTF-32")))
 
     def replaced(text: Column) -> Column:
         pieces = F.split(text, r"(?=&#?[0-9A-Za-z]{1,32};)")

@@ -6,12 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-from .text import TAG, _col, decode_entities, or_empty, strip_space
+from .text import TAG, _col, decode_entities, let, or_empty, strip_space
 
 # Menu entries which are never a designer's name.
 MENU_WORDS = ("women", "clothing", "dresses", "shoes", "bags", "accessories", "sale")
 
 
+_SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*:"
+
+
 def _filled(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
@@ -31,29 +34,31 @@ def source_host(link: Column | str = "link") -> Column:
 
 def absolute_url(href: Column | str, base: Column | str) -> Column:
     """Resolve a reference against a base URL; no reference gives ''."""
-    href = strip_space(or_empty(href))
     base = F.lit(base) if isinstance(base, str) else base
-    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1)
-    origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
+    scheme = F.regexp_extract(base, rf"^({_SCHEME})", 1)
+    origin = F.regexp_extract(base, rf"^({_SCHEME}//[^/?#]*)", 1)
     page = F.regexp_extract(base, r"^([^?#]*)", 1)
-    folder = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(?:/[^?#]*/|/)?)", 1)
-    folder = F.when(folder.endswith("/"), folder).otherwise(F.concat(folder, F.lit("/")))
     whole = F.regexp_extract(base, r"^([^#]*)", 1)
-    return (F.when(href == "", F.lit(""))
-            .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
-            .when(href.startswith("//"), F.concat(scheme, href))
-            .when(href.startswith("/"), F.concat(origin, href))
-            .when(href.startswith("?"), F.concat(page, href))
-            .when(href.startswith("#"), F.concat(whole, href))
-            .otherwise(F.concat(folder, href)))
+    folder = F.concat(F.regexp_replace(F.regexp_extract(base, rf"^({_SCHEME}//[^/?#]*(?:/[^?#]*/)?)", 1), "/+$", ""),
+                      F.lit("/"))
+
+    def resolved(href: Column) -> Column:
+        return (F.when(href == "", F.lit(""))
+                .when(href.rlike(f"^{_SCHEME}"), href)
+                .when(href.startswith("//"), F.concat(scheme, href))
+                .when(href.startswith("/"), F.concat(origin, href))
+                .when(href.startswith("?"), F.concat(page, href))
+                .when(href.startswith("#"), F.concat(whole, href))
+                .otherwise(F.concat(folder, href)))
+
+    return let(strip_space(or_empty(href)), resolved)
 
 
 def attribute(tag: Column, name: str) -> Column:
     """An attribute of one opening tag, quoted either way or bare; absent gives ''."""
-    value = r"""(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    before = r"""(?:\s+[^\s=>]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*?"""
-    pattern = rf"(?is)^<[a-z][^\s/>]*{before}\s+{name}\s*=\s*{value}"
-    return decode_entities(F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)]))
+    value = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    pattern = rf"(?is)^<[a-z][^\s/>]*(?:\s+[^\s=>]+(?:\s*=\s*{value.replace('(', '(?:', 1)})?)*?\s+{name}\s*=\s*{value}"
+    return decode_entities(F.regexp_replace(F.regexp_extract(tag, pattern, 1), r"""^["']|["']$""", ""))
 
 
 def tags(html: Column | str, name: str) -> Column:
@@ -113,17 +118,20 @@ NAME_PATTERN = r"[A-Z][A-Za-z &'().-]{1,60}"  # fixed value: what a designer's n
 
 def page_designer(html: Column | str, menu_words: Sequence[str] = MENU_WORDS) -> Column:
     """Text of a designer link, else the name after ``All``, else the first short title-like link."""
+    def of_anchors(anchors: Column) -> Column:
+        linked = F.filter(anchors, lambda a: attribute(opening(a), "href").rlike(r"/designers?/|/brand/")
+                          & _holds_one_string(a))
+        by_link = F.transform(linked, glued_text)
+        texts = F.filter(F.transform(anchors, spaced_text), lambda t: (t != "")
+                         & ~F.lower(t).isin(list(menu_words))
+                         & t.rlike(r"^\p{Lu}") & (F.size(F.split(t, r"\s+")) <= 4))
+        after_all = strip_space(F.regexp_extract(html, rf"All\s+({NAME_PATTERN})", 1))
+        return F.coalesce(_filled(F.try_element_at(by_link, F.lit(1))), _filled(after_all),
+                          F.try_element_at(texts, F.lit(1)), F.lit(""))
+
     html = or_empty(html)
-    anchors = F.filter(elements(html, "a"), lambda a: opening(a).rlike(r"(?is)\shref\s*="))
-    linked = F.filter(anchors, lambda a: attribute(opening(a), "href").rlike(r"/designers?/|/brand/")
-                      & _holds_one_string(a))
-    by_link = F.transform(linked, glued_text)
-    after_all = strip_space(F.regexp_extract(html, rf"All\s+({NAME_PATTERN})", 1))
-    texts = F.filter(F.transform(anchors, spaced_text), lambda t: (t != "")
-                     & ~F.lower(t).isin(list(menu_words))
-                     & t.rlike(r"^\p{Lu}") & (F.size(F.split(t, r"\s+")) <= 4))
-    return F.coalesce(_filled(F.try_element_at(by_link, F.lit(1))), _filled(after_all),
-                      F.try_element_at(texts, F.lit(1)), F.lit(""))
+    with_href = F.filter(elements(html, "a"), lambda a: opening(a).rlike(r"(?is)\shref\s*="))
+    return let(with_href, of_anchors)
 
 
 def next_page(html: Column | str, base: Column | str) -> Column:
@@ -134,14 +142,15 @@ def next_page(html: Column | str, base: Column | str) -> Column:
     def href(tag: Column) -> Column:
         return attribute(opening(tag), "href")
 
+    def from_anchors(anchors: Column) -> Column:
+        labelled = F.filter(anchors, lambda a: attribute(opening(a), "aria-label").rlike("(?i)next"))
+        named = F.filter(anchors, lambda a: _holds_one_string(a) & (F.lower(glued_text(a)) == "next"))
+        paged = F.filter(anchors, lambda a: href(a).rlike(r"page=\d+") & glued_text(a).rlike("(?i)next"))
+        return F.coalesce(*[_filled(href(first(rule))) for rule in (labelled, named, paged)])
+
     links = F.filter(tags(html, "link"), lambda t: attribute(t, "rel").rlike(r"(^|\s)next(\s|$)"))
-    anchors = elements(html, "a")
-    labelled = F.filter(anchors, lambda a: attribute(opening(a), "aria-label").rlike("(?i)next"))
-    named = F.filter(anchors, lambda a: _holds_one_string(a) & F.lower(glued_text(a)).eqNullSafe("next"))
-    paged = F.filter(anchors, lambda a: href(a).rlike(r"page=\d+") & glued_text(a).rlike("(?i)next"))
-    address = F.coalesce(_filled(attribute(first(links), "href")),
-                         *[_filled(href(first(rule))) for rule in (labelled, named, paged)])
-    return F.when(address.isNotNull(), absolute_url(address, base))
+    address = F.coalesce(_filled(attribute(first(links), "href")), let(elements(html, "a"), from_anchors))
+    return _filled(absolute_url(address, base))
 
 
 def card_title(card: Column | str) -> Column:
