@@ -15,13 +15,13 @@ from ..plans.products import product_report, with_tokens
 from ..sources import listings as L
 from ..sources.feeds import summary_choice
 from . import views as V
-from .views import SHOP, SQL_PRODUCTS, quote, sql_strip, sql_text, sql_tokens_regex, sql_unescape, sql_words, table
+from .views import SHOP, SQL_PRODUCTS, sql_strip, sql_text, sql_tokens_regex, sql_unescape, sql_words
 
 LINK_PATTERN = "^/[A-Z]"
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "pages")
+    return V.pages(spark, d)
 
 
 def _c(*parts: str | Column) -> Column:

@@ -11,12 +11,12 @@ from ..operators import keywords as K
 from ..operators.search import search_articles
 from ..plans.frequencies import corpus_tokens, frequency_tables
 from . import views as V
-from .views import (SPACE, SQL_ARTICLES, SQL_BOTH, SQL_SEED, quote, sql_list, sql_tokens_regex, sql_tokens_strip,
-                    sql_words, table)
+from .views import (SQL_ARTICLES, SQL_BOTH, SQL_SEED, sql_list, sql_tokens_regex, sql_tokens_strip,
+                    sql_words)
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", "text", "lang")
+    return V.documents(spark, d).select("doc_id", "text", "lang")
 
 
 def _matched(spark: SparkSession, d: str) -> DataFrame:

@@ -9,7 +9,7 @@ from ..operators import topic_terms as TT
 from ..operators.vectors import fit_reduction, hashed_embedding, join_vectors, reduce_dims
 from ..plans import topics as P
 from . import views as V
-from .views import SQL_ARTICLES, sql_list, table
+from .views import SQL_ARTICLES, documents, sql_list, table
 
 DIMS, EPS, MIN_PTS, FINENESS = 3, 0.06, 5, 4  # clusters of the test vectors
 WIDTH = 64                                    # of hashed text vectors
@@ -41,7 +41,7 @@ def topic_info(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _embedded(spark: SparkSession, d: str, width: int = WIDTH) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", hashed_embedding(tokens_unicode("text"), width).alias("embedding"))
+    return documents(spark, d).select("doc_id", hashed_embedding(tokens_unicode("text"), width).alias("embedding"))
 
 
 def embed_text(spark: SparkSession, d: str) -> DataFrame:
@@ -159,8 +159,9 @@ FROM (SELECT topic, count(*) AS n FROM articles GROUP BY topic) a LEFT JOIN name
 LEFT JOIN (SELECT topic, string_agg(title, '|' ORDER BY rank) AS titles FROM docs JOIN tok USING (topic, doc_id)
            GROUP BY topic) t USING (topic)""",
     "embed_text": rf"""WITH words AS (SELECT doc_id, md5(unnest(regexp_extract_all(lower(text), '\p{{L}}+'))) AS h FROM documents),
-sums AS (SELECT doc_id, CAST(CAST('0x' || substr(h, 1, 8) AS BIGINT) % {WIDTH} AS INTEGER) AS bucket,
-  sum(CASE WHEN substr(h, 9, 1) < '8' THEN 1 ELSE -1 END)::DOUBLE AS v FROM words GROUP BY ALL)
+codes AS (SELECT doc_id, CAST('0x' || substr(h, 1, 8) AS BIGINT) % {2 * WIDTH} AS code FROM words),
+sums AS (SELECT doc_id, CAST(code // 2 AS INTEGER) AS bucket,
+  sum(CASE WHEN code % 2 = 1 THEN 1 ELSE -1 END)::DOUBLE AS v FROM codes GROUP BY ALL)
 SELECT doc_id, bucket, round(CAST(CAST(v / norm AS FLOAT) AS DOUBLE), 6) AS value
 FROM sums JOIN (SELECT doc_id, sqrt(sum(v * v)) AS norm FROM sums GROUP BY doc_id) USING (doc_id) WHERE v <> 0""",
     "doc_vector_join": """SELECT d.doc_id, d.lang, e.label, CAST(len(e.embedding) AS INTEGER) AS width,

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import strip_space
+from ..session import spread
 
 # category, keyword
 SEED = (("texture", "thatin"), ("texture", "Ononst"), ("shape", "inoran"), ("shape", "hehely"),
@@ -22,20 +23,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"), "page_id")
+
+
 def seed(spark: SparkSession) -> DataFrame:
     rows = [(i, c, k) for i, (c, k) in enumerate(SEED)]
     return spark.createDataFrame(rows, "ord int, category string, keyword string")
 
 
 def articles(spark: SparkSession, sf_dir: str, time: bool = False, topic: bool = False) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     link = F.when(F.col("doc_id") % 3 == 0, "").otherwise(
         F.concat(F.lit("https://www."), "source", F.lit(".example.com/a/"), F.col("doc_id").cast("string")))
     view = docs.select("doc_id", strip_space(F.substring_index("text", "\n", 1)).alias("title"),
                        F.col("text").alias("summary"), link.alias("link"), "lang")
     if time:
         events = table(spark, sf_dir, "events")
-        step = events.count() // docs.count()
+        step = events.count() // table(spark, sf_dir, "documents").count()
         times = events.select("event_id", F.col("ts").alias("ingested_at"))
         view = view.join(times, F.col("doc_id") * step == F.col("event_id"), "left").drop("event_id")
     if topic:
@@ -51,9 +60,8 @@ def title_of(html: str) -> F.Column:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
     designer = F.regexp_extract("url", r"([^./]+)\.example\.", 1)
-    return pages.select("page_id", "url", designer.alias("designer"), title_of("html").alias("title"))
+    return pages(spark, sf_dir).select("page_id", "url", designer.alias("designer"), title_of("html").alias("title"))
 
 
 # --- the same in SQL ---------------------------------------------------------------------------

@@ -101,7 +101,7 @@ def html_to_text(html: Column | str) -> Column:
 
 def tokens_strip(text: Column | str) -> Column:
     """Tokeniser A: delete all but ASCII letters and white space, lower, split on white space."""
-    kept = F.regexp_replace(or_empty(text), r"[^a-zA-Z\s\x0b\x1c-\x1f\x85\p{Z}]", "")
+    kept = F.regexp_replace(or_empty(text), r"[^a-zA-Z\s\x0b\x1c-\x1f\x85\p{Z}]+", "")
     return _drop_empty(F.split(F.lower(kept), rf"{SPACE}+"))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import checkpointed
+from ..session import written
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
@@ -33,10 +33,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, component) for nodes (node: long) and edges (u, v); component is its least node."""
-    current = checkpointed(edges.where("u <> v").select("u", "v").distinct())
+    current = written(edges.where("u <> v").select("u", "v").distinct())
     before = None
     for _ in range(max_rounds):
-        current = checkpointed(_small_star(_large_star(current)))
+        current = written(_small_star(_large_star(current)))
         # a fingerprint of the edge set: one row to the driver
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:

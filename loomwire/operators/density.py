@@ -18,7 +18,7 @@ import itertools
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import checkpointed
+from ..session import written
 from .components import connected_components
 from .ordering import with_index
 
@@ -70,13 +70,13 @@ def density_clusters(points: DataFrame, coords: str, dims: int, eps: float, min_
     """(point, cluster) for every occupied lattice point; clusters are numbered by a core cell, and
     what is no cluster or a cluster below ``min_cluster_size`` has none (null)."""
     limit = dims * fineness * fineness
-    lattice = checkpointed(points.select(lattice_point(coords, dims, eps, fineness).alias("point"))
+    lattice = written(points.select(lattice_point(coords, dims, eps, fineness).alias("point"))
                            .groupBy("point").agg(F.count(F.lit(1)).alias("weight"))
                            .withColumn("cell", _cell(F.col("point"), fineness)))
     # at most fineness^dims lattice points per cell, so these arrays are bounded
-    cells = checkpointed(lattice.groupBy("cell").agg(
+    cells = written(lattice.groupBy("cell").agg(
         F.sum("weight").alias("weight"), F.collect_list(F.struct("point", "weight")).alias("held")))
-    pairs = checkpointed(neighbour_cells(cells, dims, fineness))
+    pairs = written(neighbour_cells(cells, dims, fineness))
 
     # core points: all of a dense cell; of a sparse cell (fewer than min_pts points) by counting
     near_held = cells.select(F.col("cell").alias("near"), F.col("held").alias("near_held"))
@@ -87,13 +87,13 @@ def density_clusters(points: DataFrame, coords: str, dims: int, eps: float, min_
     counted = (sparse.join(pairs, "cell").join(near_held, "near")
                .select("cell", F.explode("held").alias("here"), "near_held")
                .groupBy("cell", F.col("here.point").alias("point")).agg(F.sum(around).alias("n")))
-    sparse_points = checkpointed(counted)
+    sparse_points = written(counted)
     core_of_sparse = sparse_points.where(F.col("n") >= min_pts).select("cell", "point")
     core_of_dense = (cells.where(F.col("weight") >= min_pts)
                      .select("cell", F.explode("held.point").alias("point")))
     core_cells = with_index(core_of_dense.unionByName(core_of_sparse).groupBy("cell")
                             .agg(F.collect_list("point").alias("core")), ["cell"], "node")
-    core_cells = checkpointed(core_cells)
+    core_cells = written(core_cells)
 
     # cells are joined when any two of their core points are within eps
     left = core_cells.select("cell", F.col("node").alias("u"), F.col("core").alias("core_u"))
@@ -102,7 +102,7 @@ def density_clusters(points: DataFrame, coords: str, dims: int, eps: float, min_
     edges = (pairs.join(left, "cell").join(right, "near").where(F.col("u") < F.col("v"))
              .where(touch).select("u", "v"))
     components = connected_components(core_cells, edges)
-    labelled = checkpointed(core_cells.join(components, "node").select("cell", "core", "component"))
+    labelled = written(core_cells.join(components, "node").select("cell", "core", "component"))
 
     # remaining points of sparse cells go to the nearest core point within eps
     near_core = labelled.select(F.col("cell").alias("near"), F.col("core").alias("near_core"), "component")

@@ -6,12 +6,13 @@ shuffle. A longer list is joined on character n-grams, with the same result.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from ..functions.text import let, or_empty, split_list
 
 ARRAY_LIMIT = 512        # longest list which is tested row by row
-_GRAM_SIZES = (4, 2, 1)  # sizes of the n-grams which a long list is joined on
 
 
 def _prepared(seed: DataFrame) -> DataFrame:
@@ -42,7 +43,7 @@ def match_array(text: Column, seeds: list[Row], whole_word: bool = False) -> Col
     return let(text, lambda t: F.filter(table, lambda s: _found(t, s["low"], whole_word)))
 
 
-def _grams(text: Column) -> Column:
+def _grams(text: Column, sizes: Sequence[int]) -> Column:
     """The distinct n-grams of a text, and the empty one."""
     def of_chars(chars: Column) -> Column:
         def of_size(size: int) -> Column:
@@ -50,7 +51,7 @@ def _grams(text: Column) -> Column:
             # past the end of a shorter text this gives a shorter n-gram, which occurs in it as well
             return F.transform(starts, lambda i: F.array_join(F.slice(chars, i, F.lit(size)), ""))
 
-        return F.array_distinct(F.concat(*[of_size(s) for s in _GRAM_SIZES], F.array(F.lit(""))))
+        return F.array_distinct(F.concat(*[of_size(s) for s in sizes], F.array(F.lit(""))))
 
     return let(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), of_chars)
 
@@ -65,8 +66,9 @@ def match_by_grams(articles: DataFrame, key: str, text: Column, seed: DataFrame,
     low = F.col("low")
     size = F.when(F.length(low) >= 4, 4).when(F.length(low) >= 2, 2).otherwise(F.length(low))
     seeds = _prepared(seed).withColumn("_gram", F.substr(low, F.lit(1), size))
+    used = [r[0] for r in seeds.select(F.length("_gram")).distinct().take(4)]  # of 0, 1, 2, 4
     texts = articles.select(F.col(key).alias("_key"), text.alias("_text"))
-    grams = texts.select("_key", F.explode(_grams(F.col("_text"))).alias("_gram"))
+    grams = texts.select("_key", F.explode(_grams(F.col("_text"), [s for s in used if s])).alias("_gram"))
     candidates = grams.join(seeds, "_gram").drop("_gram")  # one row per text and seed row
     pairs = candidates.join(texts, "_key").where(_found(F.col("_text"), low, whole_word))
     return pairs.drop("_text").withColumnRenamed("_key", key)

@@ -13,14 +13,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def word_codes(tokens: Column | str, dims: int) -> Column:
-    """For each word 2 x bucket + sign, both taken from its MD5 digest."""
+    """For each word 2 x bucket + sign, taken from its MD5 digest."""
     tokens = F.col(tokens) if isinstance(tokens, str) else tokens
 
     def code(word: Column) -> Column:
-        digest = F.md5(word)
-        bucket = F.conv(F.substr(digest, F.lit(1), F.lit(8)), 16, 10).cast("long") % dims
-        sign = (F.substr(digest, F.lit(9), F.lit(1)) < "8").cast("int")
-        return (bucket * 2 + sign).cast("int")
+        number = F.conv(F.substr(F.md5(word), F.lit(1), F.lit(8)), 16, 10).cast("long")
+        return (number % (2 * dims)).cast("int")
 
     return F.transform(tokens, code)
 

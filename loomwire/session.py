@@ -1,8 +1,9 @@
-"""Session helpers: checked sizes and a durable place for checkpoints."""
+"""Session helpers: checked sizes, spreading small inputs, durable intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,26 +13,39 @@ def is_at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for reliable checkpoints.
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A scan with fewer splits than cores, such as one small file, divided among all cores.
+
+    Text work costs far more than moving a small input. A large input has splits enough and stays
+    as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables, which all machines can reach.
 
     The cluster names it in ``spark.checkpoint.dir``. Only a local session, which has no other
     machine to share with, falls back to a new temporary folder.
     """
     context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not configured:
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        configured = tempfile.mkdtemp(prefix="loomwire-checkpoint-")
-    context.setCheckpointDir(configured)
-    return context.getCheckpointDir()
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="loomwire-"))
+        folder = context.getCheckpointDir()
+    return folder
+
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write the rows to the shared folder and go on from there.
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, which outlives lost executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    The table outlives lost executors. Unlike a checkpoint it is computed once and has a known size,
+    from which Spark chooses its joins.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
