@@ -36,6 +36,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
     current = written(edges.where("u <> v").select("u", "v").distinct())
     before = None
     for _ in range(max_rounds):
+        # one round per table: each star uses its edges twice, so unwritten rounds double the plan
         current = written(_small_star(_large_star(current)))
         # a fingerprint of the edge set: one row to the driver
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

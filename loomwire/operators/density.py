@@ -16,11 +16,10 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import written
 from .components import connected_components
-from .ordering import with_index
 
 
 def lattice_point(coords: Column | str, dims: int, eps: float, fineness: int = 4) -> Column:
@@ -30,39 +29,45 @@ def lattice_point(coords: Column | str, dims: int, eps: float, fineness: int = 4
     return F.transform(coords, lambda x: F.floor(x / side).cast("long"))
 
 
-def _cell(point: Column, fineness: int) -> Column:
-    return F.transform(point, lambda x: F.floor(x / fineness).cast("long"))
+def _names(prefix: str, dims: int) -> list[str]:
+    return [f"{prefix}{i}" for i in range(dims)]
 
 
-def _distance(a: Column, b: Column) -> Column:
-    """Squared distance in lattice units."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0).cast("long"),
-                       lambda total, d: total + d)
+def _distance(a: str, b: str, dims: int) -> Column:
+    """Squared distance in lattice units of two points in columns, as plain arithmetic."""
+    deltas = [F.col(x) - F.col(y) for x, y in zip(_names(a, dims), _names(b, dims))]
+    return sum((d * d for d in deltas[1:]), deltas[0] * deltas[0])
 
 
-def _offset_table(width: int, dims: int, fineness: int) -> list[tuple[list[int], int]]:
+def _steps(width: int, dims: int, fineness: int) -> Column:
     """Cell offsets in ``width`` dimensions with the least squared distance which they leave."""
     limit = dims * fineness * fineness
     gap = {o: 0 if o == 0 else ((abs(o) - 1) * fineness + 1) ** 2 for o in range(-dims - 1, dims + 2)}
-    found = ((list(o), sum(gap[x] for x in o)) for o in itertools.product(gap, repeat=width))
-    return [(o, g) for o, g in found if g <= limit]
+    found = ((o, sum(gap[x] for x in o)) for o in itertools.product(gap, repeat=width))
+    return F.array(*[F.struct(*[F.lit(x).cast("long").alias(f"s{i}") for i, x in enumerate(o)], F.lit(g).alias("gap"))
+                     for o, g in found if g <= limit])
 
 
 def neighbour_cells(cells: DataFrame, dims: int, fineness: int) -> DataFrame:
-    """(cell, near): occupied cells which may hold points within eps of each other, self included."""
+    """(u, v): numbers of occupied cells which may hold points within eps of each other, self included.
+
+    ``cells`` has (node, c0, c1, ...). After every two dimensions what leads to no occupied cell goes.
+    """
     limit = dims * fineness * fineness
-    pairs = cells.select("cell", F.array().cast("array<bigint>").alias("near"), F.lit(0).alias("_gap"))
+    own, near = _names("c", dims), _names("n", dims)
+    pairs = cells.select(F.col("node").alias("u"), *own, F.lit(0).alias("_gap"))
     for start in range(0, dims, 2):
         width = min(2, dims - start)
-        offsets = F.array(*[F.struct(F.array(*[F.lit(x).cast("long") for x in o]).alias("step"),
-                                     F.lit(g).alias("gap")) for o, g in _offset_table(width, dims, fineness)])
-        moved = F.zip_with(F.slice("cell", start + 1, width), F.col("_step.step"), lambda c, s: c + s)
-        pairs = (pairs.select("cell", "near", "_gap", F.explode(offsets).alias("_step"))
-                 .select("cell", F.concat("near", moved).alias("near"), (F.col("_gap") + F.col("_step.gap")).alias("_gap"))
+        done = near[:start + width]
+        pairs = (pairs.withColumn("_step", F.explode(_steps(width, dims, fineness)))
+                 .withColumns({near[start + i]: F.col(own[start + i]) + F.col(f"_step.s{i}") for i in range(width)})
+                 .withColumn("_gap", F.col("_gap") + F.col("_step.gap")).drop("_step")
                  .where(F.col("_gap") <= limit))
-        occupied = cells.select(F.slice("cell", 1, start + width).alias("near")).distinct()
-        pairs = pairs.join(occupied, "near", "left_semi")
-    return pairs.select("cell", "near")
+        if start + width < dims:
+            occupied = cells.select(*[F.col(c).alias(n) for c, n in zip(own, done)]).distinct()
+            pairs = pairs.join(occupied, done, "left_semi")
+    target = cells.select(F.col("node").alias("v"), *[F.col(c).alias(n) for c, n in zip(own, near)])
+    return pairs.join(target, near).select("u", "v")
 
 
 def density_clusters(points: DataFrame, coords: str, dims: int, eps: float, min_pts: int = 5,
@@ -70,51 +75,44 @@ def density_clusters(points: DataFrame, coords: str, dims: int, eps: float, min_
     """(point, cluster) for every occupied lattice point; clusters are numbered by a core cell, and
     what is no cluster or a cluster below ``min_cluster_size`` has none (null)."""
     limit = dims * fineness * fineness
-    lattice = written(points.select(lattice_point(coords, dims, eps, fineness).alias("point"))
-                           .groupBy("point").agg(F.count(F.lit(1)).alias("weight"))
-                           .withColumn("cell", _cell(F.col("point"), fineness)))
-    # at most fineness^dims lattice points per cell, so these arrays are bounded
-    cells = written(lattice.groupBy("cell").agg(
-        F.sum("weight").alias("weight"), F.collect_list(F.struct("point", "weight")).alias("held")))
-    pairs = written(neighbour_cells(cells, dims, fineness))
+    place, own, far = _names("p", dims), _names("c", dims), _names("q", dims)
+    snapped = (points.select(lattice_point(coords, dims, eps, fineness).alias("point"))
+               .groupBy("point").agg(F.count(F.lit(1)).alias("weight"))
+               .select("weight", *[F.get("point", F.lit(i)).alias(p) for i, p in enumerate(place)]))
+    # numbers follow the order of the points, so that equal input gives equal clusters
+    numbered = snapped.orderBy(*place).withColumn("pid", F.monotonically_increasing_id()).withColumns(
+        {c: F.floor(F.col(p) / fineness).cast("long") for c, p in zip(own, place)})
+    in_cell = Window.partitionBy(*own)  # at most fineness^dims rows
+    lattice = written(numbered.withColumns({"node": F.min("pid").over(in_cell),
+                                            "cell_weight": F.sum("weight").over(in_cell)}))
+    cells = lattice.where("node = pid")
+    pairs = written(neighbour_cells(cells.select("node", *own), dims, fineness))
+    within = _distance("p", "q", dims) <= limit
 
     # core points: all of a dense cell; of a sparse cell (fewer than min_pts points) by counting
-    near_held = cells.select(F.col("cell").alias("near"), F.col("held").alias("near_held"))
-    sparse = cells.where(F.col("weight") < min_pts).select("cell", "held")
-    around = F.aggregate(
-        F.filter("near_held", lambda p: _distance(p["point"], F.col("here.point")) <= limit),
-        F.lit(0).cast("long"), lambda total, p: total + p["weight"])
-    counted = (sparse.join(pairs, "cell").join(near_held, "near")
-               .select("cell", F.explode("held").alias("here"), "near_held")
-               .groupBy("cell", F.col("here.point").alias("point")).agg(F.sum(around).alias("n")))
-    sparse_points = written(counted)
-    core_of_sparse = sparse_points.where(F.col("n") >= min_pts).select("cell", "point")
-    core_of_dense = (cells.where(F.col("weight") >= min_pts)
-                     .select("cell", F.explode("held.point").alias("point")))
-    core_cells = with_index(core_of_dense.unionByName(core_of_sparse).groupBy("cell")
-                            .agg(F.collect_list("point").alias("core")), ["cell"], "node")
-    core_cells = written(core_cells)
+    is_sparse = F.col("cell_weight") < min_pts
+    sparse = lattice.where(is_sparse).select("pid", F.col("node").alias("u"), *place)
+    around = lattice.select(F.col("node").alias("v"), F.col("weight").alias("near_weight"),
+                            *[F.col(p).alias(q) for p, q in zip(place, far)])
+    counted = written(sparse.join(pairs, "u").join(around, "v").where(within)
+                      .groupBy("pid", "u", *place).agg(F.sum("near_weight").alias("n")))
+    core = lattice.where(~is_sparse).select("pid", "node", *place).unionByName(
+        counted.where(F.col("n") >= min_pts).select("pid", F.col("u").alias("node"), *place))
 
     # cells are joined when any two of their core points are within eps
-    left = core_cells.select("cell", F.col("node").alias("u"), F.col("core").alias("core_u"))
-    right = core_cells.select(F.col("cell").alias("near"), F.col("node").alias("v"), F.col("core").alias("core_v"))
-    touch = F.exists("core_u", lambda a: F.exists("core_v", lambda b: _distance(a, b) <= limit))
-    edges = (pairs.join(left, "cell").join(right, "near").where(F.col("u") < F.col("v"))
-             .where(touch).select("u", "v"))
-    components = connected_components(core_cells, edges)
-    labelled = written(core_cells.join(components, "node").select("cell", "core", "component"))
+    near_core = core.select(F.col("node").alias("v"), *[F.col(p).alias(q) for p, q in zip(place, far)])
+    edges = (core.withColumnRenamed("node", "u").join(pairs.where("u < v"), "u").join(near_core, "v")
+             .where(within).select("u", "v").distinct())
+    nodes = core.select("node").distinct()
+    components = connected_components(nodes, edges)
 
     # remaining points of sparse cells go to the nearest core point within eps
-    near_core = labelled.select(F.col("cell").alias("near"), F.col("core").alias("near_core"), "component")
-    nearest = F.array_min(F.transform("near_core", lambda c: _distance(c, F.col("point"))))
-    attached = (sparse_points.where(F.col("n") < min_pts).select("cell", "point")
-                .join(pairs, "cell").join(near_core, "near")
-                .select("point", F.struct(nearest.alias("distance"), "component").alias("best"))
-                .where(F.col("best.distance") <= limit)
-                .groupBy("point").agg(F.min("best").alias("best"))
-                .select("point", F.col("best.component").alias("component")))
-    members = labelled.select(F.explode("core").alias("point"), "component").unionByName(attached)
-    weighted = lattice.join(members, "point", "left")
+    labelled = near_core.join(components.withColumnRenamed("node", "v"), "v")
+    attached = (counted.where(F.col("n") < min_pts).join(pairs, "u").join(labelled, "v").where(within)
+                .groupBy("pid").agg(F.min(F.struct(_distance("p", "q", dims).alias("distance"), "component")).alias("best"))
+                .select("pid", F.col("best.component").alias("component")))
+    members = core.join(components, "node").select("pid", "component").unionByName(attached)
+    weighted = written(lattice.join(members, "pid", "left").select("weight", "component", F.array(*place).alias("point")))
     sizes = (weighted.where(F.col("component").isNotNull()).groupBy("component")
              .agg(F.sum("weight").alias("size")).where(F.col("size") >= min_cluster_size)
              .select("component", F.col("component").alias("cluster")))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scores import recency, velocity
+from ..functions.weeks import year_week
 
 
 def weekly_mentions(articles: DataFrame) -> DataFrame:
@@ -53,14 +54,12 @@ def with_observed_weeks(df: DataFrame, weekly: DataFrame) -> DataFrame:
 
 
 def _previous_monday_week(latest: Column) -> Column:
-    """The calendar week before a ``YYYY-WW`` week, as a week key."""
-    from ..functions.weeks import year_week
+    """The calendar week before a ``YYYY-WW`` week: that of the day before the week's first day."""
     new_year = F.make_date(F.substr(latest, F.lit(1), F.lit(4)).cast("int"), F.lit(1), F.lit(1))
     week = F.substr(latest, F.lit(6)).cast("int")
     first_monday = F.date_add(new_year, F.pmod(7 - F.weekday(new_year), F.lit(7)))
-    day = F.when(week == 0, F.date_sub(new_year, 1)).otherwise(
-        F.greatest(F.date_add(first_monday, 7 * (week - 2)), F.date_sub(new_year, 1)))
-    return year_week(day)
+    first_day = F.when(week == 0, new_year).otherwise(F.date_add(first_monday, 7 * (week - 1)))
+    return year_week(F.date_sub(first_day, 1))
 
 
 def this_and_previous(weekly: DataFrame, calendar_prev: bool = False) -> DataFrame:

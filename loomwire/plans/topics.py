@@ -59,7 +59,7 @@ def assign_points(rows: DataFrame, coords: str, points: DataFrame, dims: int, ep
 def numbered_points(rows: DataFrame, key: str, coords: str, dims: int, eps: float, min_pts: int = 5,
                     min_cluster_size: int = 5, fineness: int = 4) -> DataFrame:
     """(point, topic): clusters numbered by size, largest first, then by their least key."""
-    clusters = written(density_clusters(rows, coords, dims, eps, min_pts, min_cluster_size, fineness))
+    clusters = density_clusters(rows, coords, dims, eps, min_pts, min_cluster_size, fineness)
     per_point = (rows.select(lattice_point(coords, dims, eps, fineness).alias("point"), F.col(key).alias("_key"))
                  .groupBy("point").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("first")))
     sizes = (clusters.where(F.col("cluster").isNotNull()).join(per_point, "point").groupBy("cluster")
@@ -72,8 +72,9 @@ def numbered_points(rows: DataFrame, key: str, coords: str, dims: int, eps: floa
 def fit_topics(vectors: DataFrame, key: str, embedding: str = "embedding", components: int = 5,
                eps: float = 0.15, min_pts: int = 5, min_cluster_size: int = 5, fineness: int = 4) -> TopicModel:
     """Reduce the vectors, cluster them by density and number the clusters."""
+    vectors = written(vectors.select(key, embedding))  # fitting reads them several times
     reduction = fit_reduction(vectors, embedding, components)
-    reduced = written(reduce_dims(reduction, vectors.select(key, embedding), embedding).select(key, "coords"))
+    reduced = written(reduce_dims(reduction, vectors, embedding).select(key, "coords"))
     points = written(numbered_points(reduced, key, "coords", components, eps, min_pts, min_cluster_size, fineness))
     return TopicModel(reduction, points, components, eps, fineness)
 
