@@ -36,7 +36,7 @@ def hashed_embedding(tokens: Column | str, dims: int = 384) -> Column:
         rows = np.repeat(np.arange(len(codes)), lengths)
         signs = np.where(flat % 2 == 1, 1.0, -1.0)
         sums = np.bincount(rows * dims + flat // 2, weights=signs, minlength=len(codes) * dims)
-        sums = sums.reshape(len(codes), dims)
+        sums = sums.astype(np.float64).reshape(len(codes), dims)  # without any word bincount counts in integers
         norms = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
         unit = np.divide(sums, norms, out=np.zeros_like(sums), where=norms > 0)
         return pd.Series(list(unit.astype(np.float32)))

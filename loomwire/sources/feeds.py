@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from ..functions.text import html_to_text, or_empty
 from ..functions.web import dedupe_key, first_image
@@ -24,33 +25,39 @@ ATOM_ENTRY = T.StructType([
     T.StructField("media:content", _URL), T.StructField("_corrupt_record", T.StringType())])
 
 
-def _read(spark: SparkSession, path: str | list[str], tag: str, schema: T.StructType) -> DataFrame:
+def _read(reader: DataFrameReader | DataStreamReader, path: str | list[str], tag: str,
+          schema: T.StructType) -> DataFrame:
     """Items of all documents; what cannot be read is skipped, as a failing feed is."""
-    raw = (spark.read.format("xml").schema(schema).option("rowTag", tag).option("mode", "PERMISSIVE")
+    raw = (reader.format("xml").schema(schema).option("rowTag", tag).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record").option("ignoreCorruptFiles", True)
            .load(path))
-    return (raw.withColumns({"feed": F.col("_metadata.file_name"), "item_ord": F.monotonically_increasing_id()})
-            .where(F.col("_corrupt_record").isNull()))
+    return raw.withColumn("feed", F.col("_metadata.file_name")).where(F.col("_corrupt_record").isNull())
 
 
-def read_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(feed, item_ord, title, summary_html, link, media_urls) of RSS items and Atom entries.
-
-    ``item_ord`` orders the items of one document.
-    """
+def items(reader: DataFrameReader | DataStreamReader, path: str | list[str]) -> DataFrame:
+    """(feed, title, summary_html, link, media_urls) of RSS items and Atom entries, batch or stream."""
     media = F.col("media:content._url").alias("media_urls")
-    rss = _read(spark, path, "item", RSS_ITEM).select(
-        "feed", "item_ord", or_empty("title._VALUE").alias("title"),
+    rss = _read(reader, path, "item", RSS_ITEM).select(
+        "feed", or_empty("title._VALUE").alias("title"),
         summary_choice(F.col("summary._VALUE"), F.col("description._VALUE")).alias("summary_html"),
         or_empty("link").alias("link"), media)
     alternate = F.filter("link", lambda e: F.coalesce(e["_rel"], F.lit("alternate")) == "alternate")
-    atom = _read(spark, path, "entry", ATOM_ENTRY).select(
-        "feed", "item_ord", or_empty("title._VALUE").alias("title"),
+    atom = _read(reader, path, "entry", ATOM_ENTRY).select(
+        "feed", or_empty("title._VALUE").alias("title"),
         summary_choice(F.col("summary._VALUE"), F.col("content._VALUE")).alias("summary_html"),
         or_empty(F.try_element_at(alternate, F.lit(1))["_href"]).alias("link"), media)
     return rss.unionByName(atom)
 
 
+def numbered(found: DataFrame) -> DataFrame:
+    """Add ``item_ord``, which orders the items of one document (a document is read by one task)."""
+    return found.withColumn("item_ord", F.monotonically_increasing_id())
+
+
+def read_items(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return numbered(items(spark.read, path))
+
+
 def summary_choice(summary: Column, description: Column) -> Column:
     """The summary, or the description when it is missing or empty, or ''."""
     return F.coalesce(F.nullif(summary, F.lit("")), description, F.lit(""))
