@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import web as H
+from ..functions.stopwords import PRODUCT
 from ..functions.text import decode_entities, html_to_text
 from ..operators import counts as C
 from ..plans.products import product_report, with_tokens
@@ -128,9 +129,7 @@ _HREF = r"""regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"[^>]*>', 1)"""
 _TITLE = "regexp_extract(html, '(?is)<title>(.*?)</title>', 1)"
 _HOST = r"regexp_extract(url, '([^./]+)\.example\.', 1)"
 _H1 = sql_strip(sql_unescape("regexp_extract(html, '(?is)<h1>(.*?)</h1>', 1)"))
-_STOP = tuple("""the and for with from this that are new all one our in on by of to a an at left just only
-preorder""".split())
-_PRODUCTS = f"WITH {SQL_PRODUCTS}, {sql_words(sql_tokens_regex('title', _STOP, 3), 'page_id', 'products')}"
+_PRODUCTS = f"WITH {SQL_PRODUCTS}, {sql_words(sql_tokens_regex('title', PRODUCT, 3), 'page_id', 'products')}"
 
 
 def _top(source: str, section: int, name: str, n: int) -> str:

@@ -152,10 +152,6 @@ def dated_archive(spark: SparkSession, d: str) -> DataFrame:
     return days.groupBy(archive_day(F.col("ingested_at")).alias("run_day")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def with_weeks(df: DataFrame) -> DataFrame:
-    return df.select("topic", "year_week", "source")
-
-
 QUERIES = {
     "trend_scores": trend_scores,
     "velocity": lambda s, d: _rounded(_metrics(s, d).select("topic", "velocity"), "velocity"),

@@ -22,9 +22,9 @@ def with_tokens(products: DataFrame, stop: Sequence[str] = PRODUCT, min_length:
     return products.withColumn("tokens", drop_words(tokens_regex("title"), stop, min_length))
 
 
-def product_report(products: DataFrame, ord: str, words: int = 20, pairs: int = 20, designers: int = 10,
+def product_report(products: DataFrame, order: str, words: int = 20, pairs: int = 20, designers: int = 10,
                    stop: Sequence[str] = PRODUCT) -> DataFrame:
-    """(section_ord, rank, section, metric, value) from products (ord, url, designer, title).
+    """(section_ord, rank, section, metric, value) from products (url, designer, title) with an order number.
 
     Order by section_ord, rank for the report. All items are part of it, so they are not sorted here.
     """
@@ -33,11 +33,11 @@ def product_report(products: DataFrame, ord: str, words: int = 20, pairs: int =
         F.lit(0).alias("section_ord"), F.lit(1).cast("long").alias("rank"), F.lit("summary").alias("section"),
         F.lit("total_items").alias("metric"), F.col("n").cast("string").alias("value"))
     items = products.select(
-        F.lit(4).alias("section_ord"), F.col(ord).cast("long").alias("rank"), F.lit("items").alias("section"),
+        F.lit(4).alias("section_ord"), F.col(order).cast("long").alias("rank"), F.lit("items").alias("section"),
         F.concat_ws(" | ", F.coalesce("designer", F.lit("")), F.coalesce("title", F.lit(""))).alias("metric"),
         F.col("url").alias("value"))
     return (total
-            .unionByName(_section(1, "top_words", top_k(term_counts(tokens, "tokens", ord), words)))
-            .unionByName(_section(2, "top_bigrams", top_k(pair_counts(tokens, "tokens", ord), pairs)))
-            .unionByName(_section(3, "top_designers", top_k(value_counts(products, "designer", ord), designers)))
+            .unionByName(_section(1, "top_words", top_k(term_counts(tokens, "tokens", order), words)))
+            .unionByName(_section(2, "top_bigrams", top_k(pair_counts(tokens, "tokens", order), pairs)))
+            .unionByName(_section(3, "top_designers", top_k(value_counts(products, "designer", order), designers)))
             .unionByName(items))

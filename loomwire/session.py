@@ -1,4 +1,4 @@
-"""Session helpers: checked sizes, spreading small inputs, durable intermediate tables."""
+"""Session helpers: spreading small inputs, durable intermediate tables."""
 
 from __future__ import annotations
 
@@ -8,11 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def is_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether a table has no more than ``rows`` rows; reads at most ``rows + 1`` of them."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
     """A scan with fewer splits than cores, such as one small file, divided among all cores.
 

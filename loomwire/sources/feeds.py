@@ -64,10 +64,13 @@ def summary_choice(summary: Column, description: Column) -> Column:
 
 
 def with_feed_order(items: DataFrame, feeds: DataFrame | None = None) -> DataFrame:
-    """Add ``feed_ord`` from a feed table (feed, feed_ord); without one feeds are taken by name."""
+    """Add ``feed_ord`` from a feed table (feed, feed_ord), in which feeds that it lacks come last;
+    without a table feeds are taken by name."""
     if feeds is None:
         return items.withColumn("feed_ord", F.col("feed"))
-    return items.join(feeds.select("feed", "feed_ord"), "feed", "inner")
+    last = F.lit(2 ** 31 - 1)
+    return (items.join(feeds.select("feed", "feed_ord"), "feed", "left")
+            .withColumn("feed_ord", F.coalesce("feed_ord", last)))
 
 
 def article_rows(items: DataFrame, seed: DataFrame, ingested_at: Column | None = None,
