@@ -8,6 +8,7 @@ from ..functions.text import drop_words, tokens_unicode
 from ..operators import topic_terms as TT
 from ..operators.vectors import fit_reduction, hashed_embedding, join_vectors, reduce_dims
 from ..plans import topics as P
+from ..session import written
 from . import views as V
 from .views import SQL_ARTICLES, documents, sql_list, table
 
@@ -88,7 +89,7 @@ def reduced(spark: SparkSession, d: str) -> DataFrame:
 
 def fitted(spark: SparkSession, d: str) -> DataFrame:
     """Topics of the documents found from their words: embed, reduce, cluster, number."""
-    vectors = _embedded(spark, d)
+    vectors = written(_embedded(spark, d))
     model = P.fit_topics(vectors, "doc_id")
     return model.assign(vectors).groupBy("topic").agg(F.count(F.lit(1)).alias("count"))
 

@@ -1,9 +1,6 @@
 from datetime import datetime, timezone
 
 import pytest
-from pyspark.sql import functions as F
-
-from loomwire.functions.scores import velocity
 from loomwire.plans.frequencies import frequency_tables
 from loomwire.schemas import ARTICLES_CSV, CLEAN_COLUMNS, TREND_SCORES, keep_columns
 from loomwire.sinks import snapshots as O

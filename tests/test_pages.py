@@ -1,10 +1,8 @@
 import csv
 import os
-from collections import defaultdict
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from loomwire.functions import web as H
 from loomwire.plans.products import product_report

@@ -9,7 +9,6 @@ from loomwire.functions.scores import clip
 from loomwire.functions.web import dedupe_key, source_host
 from loomwire.functions.weeks import parse_ts, year_week
 from loomwire.operators.dedupe import drop_known, keep_first, keep_last
-from loomwire.operators.weeks import this_and_previous, weekly_mentions
 from loomwire.plans.trend import trend_scores, with_previous, with_scores
 from loomwire.schemas import TREND_SCORES, require_columns
 
