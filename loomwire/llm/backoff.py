@@ -74,18 +74,10 @@ def scores(block: Block, keys: np.ndarray, counts: np.ndarray, total: int, disco
     rest = total - sizes[block.owner]  # words of the other texts
     found = []
     for key in block.keys:
-        at = np.searchsorted(keys, key)
-        whole = np.where(key != 0, counts[np.minimum(at, len(keys) - 1)], 0) if len(keys) else np.zeros(len(key), int)
+        at = np.where(key != 0, np.searchsorted(keys, key), len(keys))  # the last entry: no n-gram
         # the text's own occurrences of the n-gram
-        pair = np.stack((block.owner.astype(np.uint64), at.astype(np.uint64)), axis=1)
-        order = np.lexsort((pair[:, 1], pair[:, 0]))
-        edges = np.ones(len(order), bool)
-        if len(order):
-            edges[1:] = (pair[order[1:]] != pair[order[:-1]]).any(axis=1)
-        group = np.cumsum(edges) - 1
-        mine = np.empty(len(order), np.int64)
-        mine[order] = np.bincount(group)[group] if len(order) else 0
-        found.append(np.maximum(whole - mine, 0))
+        _, group, own = np.unique(block.owner * (len(keys) + 1) + at, return_inverse=True, return_counts=True)
+        found.append(np.maximum(np.append(counts, 0)[at] - own[group], 0))
     log = np.zeros(len(block.owner))
     open_words = np.ones(len(log), bool)
     for n in range(len(block.keys), 0, -1):

@@ -141,13 +141,16 @@ def line_verdicts(docs: DataFrame, least_words: int = 8, key: str = "doc_id", te
 def dedup_lines(docs: DataFrame, least_words: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with all columns; the text keeps only lines that stay and lines without words between them. A text that loses
     all its words becomes empty; a null text stays null."""
-    verdict = line_verdicts(docs, least_words, key, text).select(F.col("doc_id").alias("_id"), "kept")
-    joined = docs.withColumn("_id", F.coalesce(F.col(key).cast("long"), F.lit(NO_ID))).join(verdict, "_id", "left")
-    # used twice below, so Spark keeps the split lines as a column and looks them up by number
-    split = joined.withColumn("_parts", F.split(F.col(text), "\n"))
-    blank = F.filter(F.transform("_parts", lambda x, i: F.when(F.rlike(x, F.lit(f"^({SPACE})?$")), i)),
+    verdict = line_verdicts(docs, least_words, key, text).select("doc_id", "kept")
+    # the row as one column, so its names meet none of these
+    at = F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("doc_id")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), at, F.split(F.col(text), "\n").alias("parts"))
+    joined = rows.join(verdict, "doc_id", "left")
+    # parts is used more than once, so Spark keeps it as a column and looks lines up by number
+    blank = F.filter(F.transform("parts", lambda x, i: F.when(F.rlike(x, F.lit(f"^({SPACE})?$")), i)),
                      lambda i: i.isNotNull())
     kept = F.coalesce("kept", F.array().cast("array<int>"))
-    stays = F.transform(F.array_sort(F.concat(kept, blank)), lambda i: F.get("_parts", i))
-    result = F.when(F.size(kept) > 0, F.array_join(stays, "\n")).when(F.size("_parts") > 0, F.lit(""))
-    return split.select(*[result.alias(text) if c == text else F.col(c) for c in docs.columns])
+    stays = F.transform(F.array_sort(F.concat(kept, blank)), lambda i: F.get("parts", i))
+    result = F.when(F.size(kept) > 0, F.array_join(stays, "\n")).when(F.size("parts") > 0, F.lit(""))
+    return joined.select("row", result.alias("result")).select(
+        *[F.col("result").alias(c) if c == text else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -49,6 +49,10 @@ class Near:
         return int(self.places * p - 6 * (self.places * p * (1 - p)) ** 0.5)
 
 
+def step_salt(j: int) -> np.uint64:
+    return np.uint64(int(_GOLDEN) * (j + 1) % 2**64)
+
+
 def signatures(elements: np.ndarray, bounds: np.ndarray, m: int, chunk: int = 1 << 15) -> np.ndarray:
     """m values (step << 32 | fraction) for each set of 64-bit elements; all ones for an empty set."""
     n = len(bounds) - 1
@@ -79,7 +83,7 @@ def _improve(out: np.ndarray, elements: np.ndarray, owner: np.ndarray, m: int) -
             elif going.mean() < 0.7:
                 elements, owner, order = elements[going], owner[going], order[going]
                 line = np.arange(len(elements))
-        draw = mixed(elements + _GOLDEN * np.uint64(j + 1))
+        draw = mixed(elements + step_salt(j))
         low, high = draw & np.uint64(0xFFFFFFFF), draw >> np.uint64(32)
         k = j + ((low * np.uint64(m - j)) >> np.uint64(32)).astype(np.int64)
         if order is None:
