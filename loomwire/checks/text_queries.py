@@ -20,7 +20,22 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _matched(spark: SparkSession, d: str) -> DataFrame:
-    return K.with_matches(V.articles(spark, d), "doc_id", T.search_text(), V.seed(spark))
+    return K.with_matches(V.articles(spark, d), T.search_text(), V.seed(spark))
+
+
+def _long_seed(spark: SparkSession, d: str) -> DataFrame:
+    """Every 10th document's first word as a keyword, with repeats, nulls in category and a null keyword."""
+    word = F.regexp_extract("text", r"^[^\x20\x09-\x0D]+", 0)
+    docs = _docs(spark, d).where("doc_id % 10 = 0 OR doc_id < 600")
+    return docs.select(F.col("doc_id").alias("ord"), F.when(F.col("doc_id") % 3 > 0, F.col("lang")).alias("category"),
+                       F.when(F.col("doc_id") % 50 > 0, word).alias("keyword"))
+
+
+def long_list(spark: SparkSession, d: str) -> DataFrame:
+    """A long list derived from the documents, against texts of which some share a key or have none."""
+    matched = K.with_matches(_docs(spark, d), F.lower("text"), _long_seed(spark, d))
+    return matched.select("doc_id", F.array_join("matched_keywords", "|").alias("keywords"),
+                          F.array_join("tags", ",").alias("tags"))
 
 
 def _tokens(spark: SparkSession, d: str) -> DataFrame:
@@ -79,9 +94,10 @@ QUERIES = {
     "category_tags": lambda s, d: _matched(s, d).select("doc_id", F.array_join("tags", ", ").alias("tags")),
     "keyword_article_join": lambda s, d: K.keyword_pairs(
         V.articles(s, d), "doc_id", T.search_text(), V.seed(s)).select("doc_id", "category", "keyword"),
-    # the way for keyword lists of any length
-    "keyword_gram_join": lambda s, d: K.keyword_pairs(
-        V.articles(s, d), "doc_id", T.search_text(), V.seed(s), array_limit=0).select("doc_id", "category", "keyword"),
+    # by whole rows, without a key
+    "keyword_gram_join": lambda s, d: K.with_seeds(V.articles(s, d), T.search_text(), V.seed(s)).select(
+        "doc_id", F.inline("_seeds")).select("doc_id", "category", "keyword"),
+    "keyword_long_list": long_list,
     "keyword_frequencies": lambda s, d: K.keyword_frequencies(_matched(s, d)),
     "keyword_list_roundtrip": round_trip,
     "search_text": lambda s, d: V.articles(s, d).select("doc_id", F.md5(T.search_text()).alias("text_md5")),
@@ -134,6 +150,13 @@ FROM articles LEFT JOIN found USING (doc_id) GROUP BY doc_id""",
 FROM articles LEFT JOIN (SELECT DISTINCT doc_id, category FROM found) USING (doc_id) GROUP BY doc_id""",
     "keyword_article_join": f"{_MATCH} SELECT doc_id, category, keyword FROM found",
     "keyword_gram_join": f"{_MATCH} SELECT doc_id, category, keyword FROM found",
+    "keyword_long_list": r"""WITH seed AS (SELECT doc_id AS ord, CASE WHEN doc_id % 3 > 0 THEN lang END AS category,
+  regexp_extract(text, '^[^\x20\x09-\x0D]+') AS keyword FROM documents
+  WHERE (doc_id % 10 = 0 OR doc_id < 600) AND doc_id % 50 > 0 AND text IS NOT NULL),
+found AS (SELECT d.doc_id, s.ord, s.category, s.keyword FROM documents d JOIN seed s ON contains(lower(d.text), lower(s.keyword)))
+SELECT doc_id, coalesce(string_agg(keyword, '|' ORDER BY ord), '') AS keywords,
+  coalesce(array_to_string(list_sort(list_distinct(list(category) FILTER (WHERE category IS NOT NULL))), ','), '') AS tags
+FROM documents LEFT JOIN found USING (doc_id) GROUP BY doc_id""",
     "keyword_frequencies": f"{_MATCH} SELECT keyword, count(*) AS count FROM found GROUP BY keyword",
     "keyword_list_roundtrip": f"""{_MATCH} SELECT doc_id, coalesce(string_agg(keyword, ', ' ORDER BY ord), '') AS joined,
   CAST(count(keyword) AS INTEGER) AS n, coalesce(string_agg(keyword, '|' ORDER BY ord), '') AS parts

@@ -13,12 +13,13 @@ from . import views as V
 from .views import SQL_ARTICLES, documents, sql_list, table
 
 DIMS, EPS, MIN_PTS, FINENESS = 3, 0.06, 5, 4  # clusters of the test vectors
+SCALE = 4_500_000.0                           # millionths, and the spread of a sum of about 21 components
 WIDTH = 64                                    # of hashed text vectors
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
     words = drop_words(tokens_unicode("summary"), V.STOP, 3)
-    return V.articles(spark, d, topic=True).select("doc_id", "topic", "title", words.alias("tokens"))
+    return V.articles(spark, d, topic=True).select("doc_id", "topic", "summary", words.alias("tokens"))
 
 
 def _terms(spark: SparkSession, d: str) -> DataFrame:
@@ -36,7 +37,7 @@ def representatives(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topic_info(spark: SparkSession, d: str) -> DataFrame:
-    info = P.topic_info(_docs(spark, d), "doc_id", "topic", "tokens", "title")
+    info = P.topic_info(_docs(spark, d), "doc_id", "topic", "tokens", "summary")
     return info.select("Topic", "Count", "Name", F.array_join("Representation", "|").alias("Representation"),
                        F.array_join("Representative_Docs", "|").alias("Representative_Docs"))
 
@@ -65,8 +66,13 @@ def vector_load(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _low_dimensional(spark: SparkSession, d: str) -> DataFrame:
-    coords = F.transform(F.slice("embedding", 1, DIMS), lambda x: x.cast("double"))
-    return table(spark, d, "embeddings").select("vec_id", coords.alias("coords"))
+    """All components in 3 sums of every third, in whole millionths so that both sides add alike."""
+    def total(start: int):
+        part = F.filter("embedding", lambda x, i: i % DIMS == start)
+        whole = F.transform(part, lambda x: F.floor(x.cast("double") * 1_000_000).cast("long"))
+        return F.aggregate(whole, F.lit(0).cast("long"), lambda a, x: a + x).cast("double") / SCALE
+
+    return table(spark, d, "embeddings").select("vec_id", F.array(*[total(i) for i in range(DIMS)]).alias("coords"))
 
 
 def assign_topics(spark: SparkSession, d: str) -> DataFrame:
@@ -109,9 +115,9 @@ QUERIES = {
 }
 
 _TERMS = rf"""WITH {SQL_ARTICLES},
-tok AS (SELECT doc_id, topic, title, list_filter(regexp_extract_all(lower(summary), '\p{{L}}+'),
+tok AS (SELECT doc_id, topic, summary, list_filter(regexp_extract_all(lower(summary), '\p{{L}}+'),
   lambda w: length(w) >= 3 AND NOT list_contains({sql_list(V.STOP)}, w)) AS toks FROM articles),
-words AS (SELECT doc_id, topic, unnest(toks) AS term FROM tok),
+words AS (SELECT doc_id, topic, unnest(toks) AS term FROM tok WHERE topic IS NOT NULL),
 counts AS (SELECT topic, term, count(*) AS tf FROM words GROUP BY ALL),
 lens AS (SELECT topic, sum(tf) AS len FROM counts GROUP BY topic),
 totals AS (SELECT term, sum(tf) AS total FROM counts GROUP BY term),
@@ -122,13 +128,15 @@ terms AS (SELECT topic, term, weight, row_number() OVER (PARTITION BY topic ORDE
 docs AS (SELECT topic, doc_id, row_number() OVER (PARTITION BY topic ORDER BY score DESC, doc_id) AS rank, score FROM (
   SELECT topic, doc_id, round(coalesce(sum(weight), 0), 9) AS score FROM tok
   LEFT JOIN (SELECT DISTINCT doc_id, topic, term, weight FROM words JOIN terms USING (topic, term)) h USING (doc_id, topic)
-  GROUP BY ALL) QUALIFY rank <= 3),
+  WHERE topic IN (SELECT topic FROM terms) GROUP BY ALL) QUALIFY rank <= 3),
 names AS (SELECT topic, topic || '_' || string_agg(term, '_' ORDER BY rank) FILTER (WHERE rank <= 4) AS name,
   string_agg(term, '|' ORDER BY rank) AS representation FROM terms GROUP BY topic)"""
 
 _CLUSTERS = f"""WITH RECURSIVE pts AS (
-  SELECT vec_id, list_transform(embedding[1:{DIMS}], lambda x:
-    CAST(floor(CAST(x AS DOUBLE) / ({EPS} / ({FINENESS} * {DIMS} ** 0.5))) AS BIGINT)) AS p FROM embeddings),
+  SELECT vec_id, list_transform(range(0, {DIMS}), lambda k: CAST(floor(
+    CAST(list_sum(list_transform(list_filter(embedding, lambda x, i: (i - 1) % {DIMS} = k),
+      lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000000) AS BIGINT))) AS DOUBLE) / {SCALE}
+    / ({EPS} / ({FINENESS} * {DIMS} ** 0.5))) AS BIGINT)) AS p FROM embeddings),
 lat AS (SELECT p, count(*) AS w, min(vec_id) AS first_vec, list_transform(p, lambda x:
     CAST(floor(x / {FINENESS}.0) AS BIGINT)) AS cell FROM pts GROUP BY p),
 near AS (SELECT a.p AS p, a.cell AS cell, b.p AS q, b.cell AS qcell, b.w AS qw,
@@ -157,7 +165,7 @@ ORACLES = {
     "topic_info": f"""{_TERMS}
 SELECT a.topic AS "Topic", a.n AS "Count", name AS "Name", representation AS "Representation", titles AS "Representative_Docs"
 FROM (SELECT topic, count(*) AS n FROM articles GROUP BY topic) a LEFT JOIN names USING (topic)
-LEFT JOIN (SELECT topic, string_agg(title, '|' ORDER BY rank) AS titles FROM docs JOIN tok USING (topic, doc_id)
+LEFT JOIN (SELECT topic, string_agg(summary, '|' ORDER BY rank) AS titles FROM docs JOIN tok USING (topic, doc_id)
            GROUP BY topic) t USING (topic)""",
     "embed_text": rf"""WITH words AS (SELECT doc_id, md5(unnest(regexp_extract_all(lower(text), '\p{{L}}+'))) AS h FROM documents),
 codes AS (SELECT doc_id, CAST('0x' || substr(h, 1, 8) AS BIGINT) % {2 * WIDTH} AS code FROM words),

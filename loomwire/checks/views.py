@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import strip_space
-from ..session import spread
 
 # category, keyword
 SEED = (("texture", "thatin"), ("texture", "Ononst"), ("shape", "inoran"), ("shape", "hehely"),
@@ -24,11 +23,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
+    return table(spark, sf_dir, "documents")
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages"), "page_id")
+    return table(spark, sf_dir, "pages")
 
 
 def seed(spark: SparkSession) -> DataFrame:

@@ -1,6 +1,6 @@
 """Word and word pair counts, with the place of first occurrence for ties.
 
-Places are packed into one long so that counting stays a hash aggregate: a struct would turn it
+Places are packed into one decimal so that counting stays a hash aggregate: a struct would turn it
 into a sort of every token.
 """
 
@@ -13,21 +13,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import bigrams
 
-POSITION_BITS = 25   # words of one document which are told apart
-ORDER_BITS = 63 - POSITION_BITS  # documents
-_GROUP_BITS = 16     # documents, or groups of them, which meet in one window group
+_GROUP_BITS = 16  # documents, or groups of them, which meet in one window group
+_LEVELS = 4       # of such groups: 4 times 16 bits are all non-negative longs
 
 
 def place(doc_ord: Column, pos: Column) -> Column:
-    """Sort key of a position in the corpus.
-
-    Document numbers beyond 38 bits raise an error. Positions beyond 25 bits (33 million words in
-    one document) count as equally late.
-    """
-    in_range = doc_ord.between(0, (1 << ORDER_BITS) - 1)
-    last = (1 << POSITION_BITS) - 1
-    checked = F.when(in_range, doc_ord).otherwise(F.raise_error(F.lit("document number out of range")).cast("long"))
-    return F.shiftleft(checked, POSITION_BITS) + F.least(pos.cast("long"), F.lit(last))
+    """Sort key of a position in the corpus, for any document number from 0 and any array position."""
+    checked = F.when(doc_ord >= 0, doc_ord).otherwise(F.raise_error(F.lit("document number below 0")).cast("long"))
+    return (checked.cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + pos.cast("decimal(11,0)")).cast("decimal(38,0)")
 
 
 def term_rows(docs: DataFrame, terms: str, doc_ord: str | None = None) -> DataFrame:
@@ -108,8 +101,7 @@ def pair_counts(docs: DataFrame, tokens: str, doc_ord: str, cross_document: bool
     ends = grouped.where(F.col("ord").isNotNull()).select(
         "ord", F.get(outer_words, F.lit(0)).alias("first"), F.get(outer_words, F.lit(1)).alias("last"),
         "count", "first_seen")
-    levels = -(-ORDER_BITS // _GROUP_BITS)
-    across = followed_by(ends, ["count", "first_seen"], levels).select(
+    across = followed_by(ends, ["count", "first_seen"], _LEVELS).select(
         F.concat("last", F.lit(" "), "next").alias("term"), "count", "first_seen")
     return (inside.unionByName(across).groupBy("term")
             .agg(F.sum("count").alias("count"), F.min("first_seen").alias("first_seen")))

@@ -18,7 +18,7 @@ import itertools
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import spread, written
+from ..session import written
 from .components import connected_components
 
 
@@ -55,8 +55,8 @@ def neighbour_cells(cells: DataFrame, dims: int, fineness: int) -> DataFrame:
     """
     limit = dims * fineness * fineness
     own, near = _names("c", dims), _names("n", dims)
-    # few rows here become many: a small table would run through all steps in one task
-    pairs = spread(cells, "node").select(F.col("node").alias("u"), *own, F.lit(0).alias("_gap"))
+    # few rows here become many: by the key they start from all tasks
+    pairs = cells.repartition("node").select(F.col("node").alias("u"), *own, F.lit(0).alias("_gap"))
     for start in range(0, dims, 2):
         width = min(2, dims - start)
         done = near[:start + width]

@@ -1,108 +1,94 @@
 """Seed keywords found in articles by substring, and the categories they stand for.
 
-A keyword list of checked size becomes one array which every row is tested against: no join, no
-shuffle. A longer list is joined on character n-grams, with the same result.
+One automaton (Aho and Corasick 1975) holds all keywords and finds them in one pass over each text, so the
+time per row does not depend on the length of the list. Rows stay whole: no join, no shuffle, no key, and
+it works on streams. The seed table is a dimension: it is collected, and every worker holds one
+automaton, some hundred bytes per keyword.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
-from ..functions.text import let, or_empty, split_list
+from ..functions.text import or_empty, split_list
 
-ARRAY_LIMIT = 512        # longest list which is tested row by row
+_NAMES = ("ord", "category", "keyword")
 
 
-def _prepared(seed: DataFrame) -> DataFrame:
-    """Seed rows (ord, category?, keyword) with the lower-cased form."""
-    columns = [c for c in ("ord", "category", "keyword") if c in seed.columns]
-    return seed.where(F.col("keyword").isNotNull()).select(*columns, F.lower("keyword").alias("low"))
+def seed_rows(seed: DataFrame) -> list[Row]:
+    """Seed rows (ord, category?, keyword, low) in seed order, rows with a null order first."""
+    columns = [c for c in _NAMES if c in seed.columns]
+    rows = seed.where(F.col("keyword").isNotNull()).select(*columns, F.lower("keyword").alias("low")).collect()
+    return sorted(rows, key=lambda r: (r["ord"] is not None, r["ord"] or 0))
 
 
-def _found(text: Column, low: Column, whole_word: bool) -> Column:
-    if not whole_word:
-        return F.contains(text, low)
-    escaped = F.regexp_replace(low, r"([^\p{L}\p{N}\s])", r"\\$1")
-    return F.regexp_like(text, F.concat(F.lit(r"(?<![\p{L}\p{N}])"), escaped, F.lit(r"(?![\p{L}\p{N}])")))
+def _is_word(char: str) -> bool:
+    return char.isalpha() or char.isnumeric()
 
 
-def short_list(seed: DataFrame, limit: int = ARRAY_LIMIT) -> list[Row] | None:
-    """The seed rows in seed order when there are at most ``limit`` of them, else None."""
-    prepared = _prepared(seed)
-    rows = prepared.take(limit + 1)
-    return sorted(rows, key=lambda r: r["ord"]) if len(rows) <= limit else None
+def finder(lows: list[str], whole_word: bool) -> Callable[[str], list[int]]:
+    """A function from a text to the positions in the list of the keywords in it, ascending."""
+    import ahocorasick
 
+    automaton = ahocorasick.Automaton()
+    places: dict[str, list[int]] = {}
+    for i, low in enumerate(lows):
+        places.setdefault(low, []).append(i)
+    for low in places:
+        if low:
+            automaton.add_word(low, low)
+    automaton.make_automaton()
 
-def match_array(text: Column, seeds: list[Row], whole_word: bool = False) -> Column:
-    """The seed rows (ord, category?, keyword, low) found in the text, in seed order."""
-    if not seeds:
-        return F.array().cast("array<struct<ord:int,category:string,keyword:string,low:string>>")
-    table = F.array(*[F.struct(*[F.lit(v).alias(k) for k, v in row.asDict().items()]) for row in seeds])
-    return let(text, lambda t: F.filter(table, lambda s: _found(t, s["low"], whole_word)))
+    def find(text: str) -> list[int]:
+        found = {""} if "" in places else set()
+        if len(automaton):
+            for end, low in automaton.iter(text):
+                if low in found:
+                    continue
+                start = end + 1 - len(low)
+                if not whole_word or not (start and _is_word(text[start - 1])
+                                          or end + 1 < len(text) and _is_word(text[end + 1])):
+                    found.add(low)
+        return sorted(i for low in found for i in places[low])
 
+    return find
 
-def _grams(text: Column, sizes: Sequence[int]) -> Column:
-    """The distinct n-grams of a text, and the empty one."""
-    def of_chars(chars: Column) -> Column:
-        def of_size(size: int) -> Column:
-            starts = F.sequence(F.lit(1), F.greatest(F.size(chars) - size + 1, F.lit(1)))
-            # past the end of a shorter text this gives a shorter n-gram, which occurs in it as well
-            return F.transform(starts, lambda i: F.array_join(F.slice(chars, i, F.lit(size)), ""))
 
-        return F.array_distinct(F.concat(*[of_size(s) for s in sizes], F.array(F.lit(""))))
+def with_seeds(articles: DataFrame, text: Column, seed: DataFrame, whole_word: bool = False) -> DataFrame:
+    """articles with ``_seeds``: the seed rows (ord, category, keyword) found in the text."""
+    seeds = seed_rows(seed)
+    lows = [r["low"] for r in seeds]
+    kind = seed.schema["ord"].dataType.simpleString() if "ord" in seed.columns else "int"
+    table = [{c: r[c] if c in r else None for c in _NAMES} for r in seeds]
 
-    return let(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), of_chars)
+    @F.pandas_udf(f"array<struct<ord:{kind},category:string,keyword:string>>")
+    def rows_at(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        find = finder(lows, whole_word)
+        for batch in batches:
+            yield batch.map(lambda t: [table[i] for i in find(t)] if t is not None else [])
 
-
-def match_by_grams(articles: DataFrame, key: str, text: Column, seed: DataFrame,
-                   whole_word: bool = False) -> DataFrame:
-    """(key, ord, category, keyword, low) for a list of any length.
-
-    A keyword which occurs in a text shares its leading n-gram with it. The join on that n-gram
-    gives candidates, which are then tested against the text. Texts stay out of the n-gram shuffle.
-    """
-    low = F.col("low")
-    size = F.when(F.length(low) >= 4, 4).when(F.length(low) >= 2, 2).otherwise(F.length(low))
-    seeds = _prepared(seed).withColumn("_gram", F.substr(low, F.lit(1), size))
-    used = [r[0] for r in seeds.select(F.length("_gram")).distinct().take(4)]  # of 0, 1, 2, 4
-    texts = articles.select(F.col(key).alias("_key"), text.alias("_text"))
-    grams = texts.select("_key", F.explode(_grams(F.col("_text"), [s for s in used if s])).alias("_gram"))
-    candidates = grams.join(seeds, "_gram").drop("_gram")  # one row per text and seed row
-    pairs = candidates.join(texts, "_key").where(_found(F.col("_text"), low, whole_word))
-    return pairs.drop("_text").withColumnRenamed("_key", key)
+    return articles.withColumn("_seeds", rows_at(text))
 
 
 def keyword_pairs(articles: DataFrame, key: str, text: Column, seed: DataFrame,
-                  whole_word: bool = False, array_limit: int = ARRAY_LIMIT) -> DataFrame:
+                  whole_word: bool = False) -> DataFrame:
     """One row per article and seed row found in it: (key, ord, category, keyword)."""
-    columns = [c for c in ("ord", "category", "keyword") if c in seed.columns]
-    seeds = short_list(seed, array_limit)
-    if seeds is not None:
-        matches = F.explode(match_array(text, seeds, whole_word)).alias("_seed")
-        return articles.select(key, matches).select(key, *[f"_seed.{c}" for c in columns])
-    return match_by_grams(articles, key, text, seed, whole_word).select(key, *columns)
-
-
-def with_matches(articles: DataFrame, key: str, text: Column, seed: DataFrame,
-                 whole_word: bool = False, array_limit: int = ARRAY_LIMIT) -> DataFrame:
-    """Articles with ``matched_keywords`` (seed order, original case, repeats kept) and sorted ``tags``."""
-    seeds = short_list(seed, array_limit)
-    if seeds is not None:
-        return (articles.withColumn("_seeds", match_array(text, seeds, whole_word))
-                .withColumn("matched_keywords", F.transform("_seeds", lambda s: s["keyword"]))
-                .withColumn("tags", F.array_sort(F.array_distinct(F.transform("_seeds", lambda s: s["category"]))))
-                .drop("_seeds"))
-    pairs = match_by_grams(articles, key, text, seed, whole_word)
-    # one article's keywords: bounded by its own text, since all are substrings of it
-    lists = pairs.groupBy(key).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", "keyword"))),
-                    lambda s: s["keyword"]).alias("matched_keywords"),
-        F.array_sort(F.collect_set("category")).alias("tags"))
-    none = F.array().cast("array<string>")
-    return (articles.join(lists, key, "left")
-            .withColumns({c: F.coalesce(c, none) for c in ("matched_keywords", "tags")}))
+    columns = [c for c in _NAMES if c in seed.columns]
+    found = with_seeds(articles, text, seed, whole_word).select(key, F.explode("_seeds").alias("_seed"))
+    return found.select(key, *[f"_seed.{c}" for c in columns])
+
+
+def with_matches(articles: DataFrame, text: Column, seed: DataFrame, whole_word: bool = False) -> DataFrame:
+    """Articles with ``matched_keywords`` (seed order, original case, repeats kept) and sorted ``tags``
+    (a keyword without category gives none)."""
+    return (with_seeds(articles, text, seed, whole_word)
+            .withColumn("matched_keywords", F.transform("_seeds", lambda s: s["keyword"]))
+            .withColumn("tags", F.array_sort(F.array_distinct(F.array_compact(
+                F.transform("_seeds", lambda s: s["category"])))))
+            .drop("_seeds"))
 
 
 def keyword_frequencies(articles: DataFrame, keywords: str = "matched_keywords") -> DataFrame:

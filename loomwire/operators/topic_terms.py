@@ -22,8 +22,11 @@ def topic_sizes(articles: DataFrame) -> DataFrame:
 
 
 def term_weights(docs: DataFrame, topic: str, tokens: str) -> DataFrame:
-    """(topic, term, tf, weight) for every term of every topic."""
-    counts = (docs.select(F.col(topic).alias("topic"), F.explode(tokens).alias("term"))
+    """(topic, term, tf, weight) for every term of every topic; documents without a topic take no part.
+
+    The tokens are exploded and shuffled once: all branches filter alike, so they share the counts.
+    """
+    counts = (docs.where(F.col(topic).isNotNull()).select(F.col(topic).alias("topic"), F.explode(tokens).alias("term"))
               .groupBy("topic", "term").agg(F.count(F.lit(1)).alias("tf")))
     lengths = counts.groupBy("topic").agg(F.sum("tf").alias("len"))
     totals = counts.groupBy("term").agg(F.sum("tf").alias("total"))
@@ -58,14 +61,17 @@ def representative_docs(docs: DataFrame, key: str, topic: str, tokens: str, term
                         n: int = 3, digits: int = 9) -> DataFrame:
     """(topic, key, score, rank): the n documents which hold most weight of their topic's terms.
 
-    A document's score is the sum of the weights of its topic's terms which occur in it. Only
-    (topic, weights) arrays of fixed length are joined; words are looked up inside the row.
+    A document's score is the sum of the weights of its topic's terms which occur in it. The topics with their
+    terms, some dozen entries each, come as one map to the rows: no token or document is shuffled before the n best
+    of each task are chosen.
     """
-    tables = terms.groupBy(F.col("topic").alias("_topic")).agg(F.array_sort(F.collect_list(F.struct(
+    known = terms.groupBy(F.col("topic").alias("_topic")).agg(F.array_sort(F.collect_list(F.struct(
         "rank", "term", "weight"))).alias("_terms"))
+    table = known.agg(F.map_from_entries(F.collect_list(F.struct("_topic", "_terms"))).alias("_map")).scalar()
     score = F.aggregate("_terms", F.lit(0.0), lambda acc, t: acc + F.when(
         F.array_contains(F.col(tokens), t["term"]), t["weight"]).otherwise(0.0))
-    scored = (docs.select(F.col(key).alias("_key"), F.col(topic).alias("topic"), tokens)
-              .join(tables, F.col("topic") == F.col("_topic"))
+    scored = (docs.where(F.col(topic).isNotNull())
+              .select(F.col(key).alias("_key"), F.col(topic).alias("topic"), tokens)
+              .withColumn("_terms", F.try_element_at(table, F.col("topic"))).where(F.col("_terms").isNotNull())
               .select("topic", "_key", F.round(score, digits).alias("score")))
     return _ranked(scored, "topic", [F.desc("score"), "_key"], n).withColumnRenamed("_key", key)

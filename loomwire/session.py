@@ -1,4 +1,4 @@
-"""Session helpers: spreading small inputs, durable intermediate tables."""
+"""Session helpers: durable intermediate tables."""
 
 from __future__ import annotations
 
@@ -8,16 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A scan with fewer splits than cores, such as one small file, divided among all cores.
-
-    Text work costs far more than moving a small input. A large input has splits enough and stays
-    as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables, which all machines can reach.
 

@@ -86,6 +86,6 @@ def article_rows(items: DataFrame, seed: DataFrame, ingested_at: Column | None =
     if known is not None:
         rows = drop_known(rows, known, ["key"])
     text = F.lower(F.concat("title", F.lit(" "), "summary"))
-    matched = with_matches(rows, "key", text, seed)
+    matched = with_matches(rows, text, seed)
     return matched.withColumn("ingested_at", ingested_at if ingested_at is not None else F.current_timestamp()).select(
         "title", "summary", "link", "matched_keywords", "ingested_at", "image_url", "key", "feed_ord", "item_ord")

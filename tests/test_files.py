@@ -112,7 +112,7 @@ def test_row_functions_work_on_streams(spark, tmp_path):
     spark.createDataFrame([(1, "http://www.a/1", "<b>Silk</b> dress", "t")], "id int, link string, summary string, title string").write.parquet(str(tmp_path / "in"))
     seed = spark.createDataFrame([(0, "c", "silk")], "ord int, category string, keyword string")
     stream = spark.readStream.schema("id int, link string, summary string, title string").parquet(str(tmp_path / "in"))
-    out = with_matches(stream, "id", T.search_text(), seed).select(
+    out = with_matches(stream, T.search_text(), seed).select(
         H.source_host().alias("source"), H.dedupe_key().alias("key"), T.html_to_text("summary").alias("text"),
         T.bigrams(T.tokens_strip("summary")).alias("pairs"), "matched_keywords", "tags")
     query = out.writeStream.format("memory").queryName("rows_out").trigger(availableNow=True).start()

@@ -65,32 +65,38 @@ def matching(spark):
             spark.createDataFrame(SEED, "ord int, category string, keyword string"))
 
 
-@pytest.mark.parametrize("limit", [100, 0])
-def test_keywords_by_substring(matching, limit):
+def test_keywords_by_substring(matching):
     docs, seed = matching
     got = {r["id"]: (r["matched_keywords"], r["tags"])
-           for r in with_matches(docs, "id", F.lower("t"), seed, array_limit=limit).collect()}
+           for r in with_matches(docs, F.lower("t"), seed).collect()}
     assert got == {1: (["Fur", "lace", "fur"], ["fit", "mood"]), 2: (["new"], ["mood"]), 3: ([], []),
                    4: (["a.b", "é"], ["x", "y"]), 5: ([], [])}
 
 
-@pytest.mark.parametrize("limit", [100, 0])
-def test_keywords_whole_word(matching, limit):
+def test_keywords_whole_word(matching):
     docs, seed = matching
-    got = keyword_pairs(docs, "id", F.lower("t"), seed, whole_word=True, array_limit=limit)
+    got = keyword_pairs(docs, "id", F.lower("t"), seed, whole_word=True)
     assert {(r["id"], r["keyword"]) for r in got.collect()} == {(4, "a.b")}
 
 
 @settings(**SLOW)
 @given(st.lists(st.text("abé ", max_size=12), min_size=1, max_size=6),
        st.lists(st.text("abé", min_size=1, max_size=6), min_size=1, max_size=6))
-def test_both_keyword_ways_agree_with_python(spark, texts, words):
+def test_keywords_agree_with_python(spark, texts, words):
     docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
     seed = spark.createDataFrame([(i, "c", w) for i, w in enumerate(words)], "ord int, category string, keyword string")
     expected = Counter((i, o) for i, t in enumerate(texts) for o, w in enumerate(words) if w in t)
-    for limit in (100, 0):
-        pairs = keyword_pairs(docs, "id", F.lower("t"), seed, array_limit=limit)
-        assert Counter((r["id"], r["ord"]) for r in pairs.collect()) == expected
+    pairs = keyword_pairs(docs, "id", F.lower("t"), seed)
+    assert Counter((r["id"], r["ord"]) for r in pairs.collect()) == expected
+
+
+def test_keywords_null_category_and_shared_keys(spark):
+    docs = spark.createDataFrame([(1, "fur"), (1, "lace"), (None, "fur"), (2, None)], "id int, t string")
+    seed = spark.createDataFrame([(1, None, "fur"), (None, "c", "lace"), (3, "d", None), (4, "e", "")],
+                                 "ord int, category string, keyword string")
+    got = [(r["id"], r["matched_keywords"], r["tags"]) for r in with_matches(docs, F.col("t"), seed).collect()]
+    assert sorted(got, key=repr) == sorted([(1, ["fur", ""], ["e"]), (1, ["lace", ""], ["c", "e"]), (None, ["fur", ""], ["e"]),
+                                            (2, [], [])], key=repr)
 
 
 def test_keyword_frequencies(spark):
@@ -104,7 +110,7 @@ def corpus_pairs(docs):
 
 
 @settings(**SLOW)
-@given(st.lists(st.tuples(st.sampled_from([0, 1, 7, 65_535, 65_536, 65_537, 1 << 20, 1 << 33, (1 << 38) - 1]),
+@given(st.lists(st.tuples(st.sampled_from([0, 1, 7, 65_535, 65_536, 65_537, 1 << 20, 1 << 33, (1 << 38) - 1, 1 << 48, (1 << 63) - 1]),
                           st.lists(st.sampled_from("abc"), max_size=4)), min_size=1, max_size=9, unique_by=lambda d: d[0]))
 def test_corpus_pairs_cross_documents_and_groups(spark, docs):
     df = spark.createDataFrame(docs, "ord long, tokens array<string>").repartition(3)
@@ -127,8 +133,21 @@ def test_top_k_ties_in_order_of_occurrence(spark):
     docs = spark.createDataFrame([(0, ["z", "b", "b"]), (1, ["a", "z"])], "ord long, tokens array<string>")
     got = C.top_k(C.term_counts(docs, "tokens", "ord"), 3).collect()
     assert [(r["term"], r["count"]) for r in got] == [("z", 2), ("b", 2), ("a", 1)]
-    with pytest.raises(Exception, match="out of range"):
-        C.term_counts(spark.createDataFrame([(1 << 40, ["a"])], "ord long, tokens array<string>"), "tokens", "ord").collect()
+    with pytest.raises(Exception, match="below 0"):
+        C.term_counts(spark.createDataFrame([(-1, ["a"])], "ord long, tokens array<string>"), "tokens", "ord").collect()
+
+
+def test_ties_by_the_librarys_own_order(spark):
+    """monotonically_increasing_id over many partitions exceeds 38 bits."""
+    words = [f"w{i % 7}" for i in range(80)]
+    docs = spark.createDataFrame(list(enumerate(words)), "n int, w string").repartitionByRange(40, "n").select(
+        F.monotonically_increasing_id().alias("ord"), "n", F.array("w", F.lit("z")).alias("tokens"))
+    assert docs.agg(F.max("ord")).first()[0] > 1 << 38
+    got = [r["term"] for r in C.top_k(C.term_counts(docs, "tokens", "ord"), 8).collect()]
+    assert got == ["z", "w0", "w1", "w2", "w3", "w4", "w5", "w6"]
+    pairs = {r["term"]: r["count"] for r in C.pair_counts(docs, "tokens", "ord", cross_document=True).collect()}
+    stream = [x for w in words for x in (w, "z")]
+    assert pairs == Counter(f"{a} {b}" for a, b in zip(stream, stream[1:]))
 
 
 def test_search(spark):

@@ -13,7 +13,7 @@ from loomwire.operators.ordering import with_index
 from loomwire.operators.topic_terms import topic_names
 from loomwire.operators.vectors import encode_with, hashed_embedding, join_vectors
 from loomwire.plans.topics import TopicModel, assign_points, fit_topics, numbered_points, topic_info
-from loomwire.session import spread, written
+from loomwire.session import written
 
 SLOW = dict(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -24,11 +24,6 @@ def test_with_index(spark):
     assert sorted((r["v"], r["index"]) for r in got) == [(i + 1, i) for i in range(1000)]
 
 
-def test_spread_only_small_inputs(spark):
-    small, large = spark.range(10, numPartitions=1), spark.range(10, numPartitions=64)
-    assert spread(small, "id").rdd.getNumPartitions() == 8 and spread(large, "id") is large
-
-
 @settings(**SLOW)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=25))
 def test_components(spark, edges):
