@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scores import clip
@@ -12,8 +15,10 @@ from ..operators.topic_terms import topic_sizes
 from ..operators import weeks as W
 from ..plans import trend as P
 from ..schemas import CLEAN_COLUMNS, keep_columns
-from ..sources.snapshots import new_since, union_snapshots
-from ..sinks.snapshots import archive_day
+from ..session import shared_folder
+from ..sinks.snapshots import archive_day, archive_new, export_csv, write_snapshot
+from ..sources import files
+from ..sources.snapshots import new_since, read_latest, union_snapshots
 from . import views as V
 from .views import SQL_ARTICLES, SQL_HEADLINES, SQL_KEPT, sql_metrics, sql_scores, table
 
@@ -121,11 +126,55 @@ def kept_columns(spark: SparkSession, d: str) -> DataFrame:
     return keep_columns(V.articles(spark, d), CLEAN_COLUMNS)
 
 
+def _folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def _landed(spark: SparkSession, rows: DataFrame, folder: str, name: str) -> None:
+    """Rows as one CSV export with the given columns and name."""
+    part = f"{folder}-part-{name}"
+    export_csv(rows.coalesce(1), part)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(part)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop.Path(folder))
+    for status in fs.listStatus(path):
+        if status.getPath().getName().startswith("part-"):
+            fs.rename(status.getPath(), hadoop.Path(f"{folder}/{name}"))
+
+
+def _exports(spark: SparkSession, d: str) -> str:
+    """Three exports with columns in different orders, of which each lacks one."""
+    folder = _folder(spark)
+    _landed(spark, table(spark, d, "documents").select("doc_id", "text", "lang"), folder, "h_20240101_000000.csv")
+    _landed(spark, table(spark, d, "benchmark").select("text", "item_id"), folder, "h_20240102_000000.csv")
+    _landed(spark, table(spark, d, "labels").select("toxic", "quality", "doc_id"), folder, "h_20240103_000000.csv")
+    return folder
+
+
+HISTORY = "doc_id long, item_id long, text string, lang string, quality int"
+
+
 def all_history(spark: SparkSession, d: str) -> DataFrame:
-    """Two files with different columns as one table with the file each row came from."""
-    both = spark.read.option("mergeSchema", True).parquet(f"{d}/documents.parquet", f"{d}/benchmark.parquet")
-    return both.select("doc_id", "item_id", F.md5("text").alias("text_md5"), "lang",
-                       F.col("_metadata.file_name").alias("source_file"))
+    """Exports with different columns as one table by name, with the file each row came from."""
+    rows = files.all_history(spark, _exports(spark, d), "h", HISTORY)
+    return rows.select("doc_id", "item_id", F.md5("text").alias("text_md5"), "lang", "quality", "source_file")
+
+
+def newest_export(spark: SparkSession, d: str) -> DataFrame:
+    """The newest export's rows."""
+    folder = _exports(spark, d)
+    newest = files.newest(spark, folder, "h")
+    return files.read_csv(spark, newest, "doc_id long, quality int, text string")
+
+
+def archived(spark: SparkSession, d: str) -> DataFrame:
+    """What two runs of the archive over the same new files hold: each file once."""
+    folder, archive = _exports(spark, d), _folder(spark)
+    before = files.list_files(spark, folder, "h_20240101*.csv")
+    for _ in range(2):
+        archive_new(spark, folder, before, archive, datetime(2024, 1, 3), "h")
+    return spark.read.parquet(archive).groupBy("run_day", "source_file").agg(F.count(F.lit(1)).alias("n"))
 
 
 def unioned(spark: SparkSession, d: str) -> DataFrame:
@@ -136,9 +185,12 @@ def unioned(spark: SparkSession, d: str) -> DataFrame:
 
 
 def latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    events = table(spark, d, "events").withColumn("run_date", F.date_format("ts", "yyyyMMdd"))
-    newest = events.agg(F.max("run_date")).scalar()
-    return events.where(F.col("run_date") == newest).select("event_id", "run_date", "event_type")
+    """The newest run of a versioned table; only its partition is read."""
+    root = _folder(spark)
+    events = table(spark, d, "events").withColumn("day", F.dayofmonth("ts"))
+    for run in (1, 2):
+        write_snapshot(events.where(F.col("day") % 2 == run % 2).select("event_id", "event_type"), root, f"2024010{run}_000000")
+    return read_latest(spark, root)
 
 
 def fresh(spark: SparkSession, d: str) -> DataFrame:
@@ -181,6 +233,9 @@ QUERIES = {
     "source_host": hosts,
     "keep_columns": kept_columns,
     "all_history": all_history,
+    "newest_export": newest_export,
+    "archive_new": archived,
+    "topics_as_text": lambda s, d: P.topics_as_text(V.articles(s, d, topic=True)),
     "union_snapshots": unioned,
     "latest_snapshot": latest_snapshot,
     "new_since": fresh,
@@ -239,15 +294,19 @@ FROM (SELECT CAST(ts AS DATE) + CAST(event_id % 4383 AS INTEGER) AS day FROM eve
   replace(lower(regexp_extract(link, '://([^/?#]*)', 1)), 'www.', '') AS source
 FROM (SELECT page_id AS id, url AS link FROM pages UNION ALL SELECT doc_id, link FROM articles)""",
     "keep_columns": f"WITH {SQL_ARTICLES} SELECT title, summary, link FROM articles",
-    "all_history": """SELECT doc_id, NULL::BIGINT AS item_id, md5(text) AS text_md5, lang,
-  'documents.parquet' AS source_file FROM documents
-UNION ALL SELECT NULL, item_id, md5(text), NULL, 'benchmark.parquet' FROM benchmark""",
+    "all_history": """SELECT doc_id, NULL::BIGINT AS item_id, md5(text) AS text_md5, lang, NULL::INTEGER AS quality,
+  'h_20240101_000000.csv' AS source_file FROM documents
+UNION ALL SELECT NULL, item_id, md5(text), NULL, NULL, 'h_20240102_000000.csv' FROM benchmark
+UNION ALL SELECT doc_id, NULL, NULL, NULL, quality, 'h_20240103_000000.csv' FROM labels""",
+    "newest_export": "SELECT doc_id, quality, NULL::VARCHAR AS text FROM labels",
+    "archive_new": """SELECT '03-01-2024' AS run_day, 'h_20240102_000000.csv' AS source_file, count(*) AS n FROM benchmark
+UNION ALL SELECT '03-01-2024', 'h_20240103_000000.csv', count(*) FROM labels""",
+    "topics_as_text": f"WITH {SQL_ARTICLES} SELECT DISTINCT CAST(topic AS VARCHAR) AS topic FROM articles WHERE topic IS NOT NULL",
     "union_snapshots": """SELECT doc_id, CAST(length(text) AS INTEGER) AS n, lang, NULL::BIGINT AS item_id,
   NULL::BIGINT AS conv_id, NULL::BIGINT AS turn FROM documents
 UNION ALL SELECT NULL, CAST(length(text) AS INTEGER), NULL, item_id, NULL, NULL FROM benchmark
 UNION ALL SELECT NULL, CAST(length(text) AS INTEGER), NULL, NULL, conv_id, turn FROM conversations""",
-    "latest_snapshot": """SELECT event_id, strftime(ts, '%Y%m%d') AS run_date, event_type FROM events
-WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""",
+    "latest_snapshot": "SELECT event_id, event_type FROM events WHERE day(ts) % 2 = 0",
     "new_since": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "dated_archive": f"""WITH {SQL_ARTICLES} SELECT strftime(ingested_at, '%d-%m-%Y') AS run_day, count(*) AS n
 FROM articles WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY 1""",

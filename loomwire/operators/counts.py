@@ -78,27 +78,51 @@ def pair_counts(docs: DataFrame, tokens: str, doc_ord: str, cross_document: bool
     With ``cross_document`` the last word of a document and the first word of the next non-empty
     one form a pair too, as if the corpus were one text.
     """
+    return _pairs_of(_grouped(docs, tokens, doc_ord, cross_document, words=False), cross_document)
+
+
+def word_and_pair_counts(docs: DataFrame, tokens: str, doc_ord: str, cross_document: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Both counts (term, count, first_seen) from one reading, one explosion and one shuffle of the tokens."""
+    grouped = _grouped(docs, tokens, doc_ord, cross_document, words=True)
+    words = grouped.where(F.col("kind") == _WORD).select("term", "count", "first_seen")
+    return words, _pairs_of(grouped, cross_document)
+
+
+_WORD, _PAIR, _BORDER = 0, 1, 2
+
+
+def _grouped(docs: DataFrame, tokens: str, doc_ord: str, cross_document: bool, words: bool) -> DataFrame:
+    """(term, border, count, first_seen, ord, kind): words, pairs, and a row per document with its outer words."""
+    all_words, doc = F.col(tokens), F.col(doc_ord).cast("long")
+
+    def rows(terms: Column, kind: int) -> Column:
+        return F.transform(terms, lambda term, i: F.struct(
+            term.alias("term"), F.lit(kind).alias("kind"), F.lit(None).cast("long").alias("border"), i.cast("long").alias("pos")))
+
+    found = [rows(bigrams(all_words), _PAIR)]
+    if words:
+        found.append(rows(all_words, _WORD))
+    if cross_document:
+        found.append(F.array(F.struct(
+            F.concat(F.element_at(all_words, 1), F.lit(" "), F.element_at(all_words, -1)).alias("term"),
+            F.lit(_BORDER).alias("kind"), doc.alias("border"), (F.size(all_words) - 1).cast("long").alias("pos"))))
+    exploded = (docs.where(F.size(all_words) > 0)
+                .select(doc.alias("_doc"), F.explode(F.concat(*found)).alias("_row"))
+                .select("_row.term", F.col("_row.kind").alias("_kind"), "_row.border",
+                        place(F.col("_doc"), F.col("_row.pos")).alias("seen")))
+    # Uses select on the aggregates max(border) and max(kind): a filter on a key would be pushed below the
+    # shuffle, and the text would be read and shuffled once for each use.
+    return exploded.groupBy("term", "_kind", "border").agg(
+        F.count(F.lit(1)).alias("count"), F.min("seen").alias("first_seen"), F.max("border").alias("ord"),
+        F.max("_kind").alias("kind"))
+
+
+def _pairs_of(grouped: DataFrame, cross_document: bool) -> DataFrame:
+    inside = grouped.where(F.col("kind") == _PAIR).select("term", "count", "first_seen")
     if not cross_document:
-        pairs = docs.select(F.col(doc_ord).alias("_ord"), bigrams(tokens).alias("_pairs"))
-        return term_counts(pairs, "_pairs", "_ord")
-
-    # One pass over the text: each document gives its pairs and one row with its outer words.
-    words, doc = F.col(tokens), F.col(doc_ord).cast("long")
-    inner = F.transform(bigrams(words), lambda pair, i: F.struct(
-        pair.alias("term"), F.lit(None).cast("long").alias("border"), i.cast("long").alias("pos")))
-    outer = F.array(F.struct(
-        F.concat(F.element_at(words, 1), F.lit(" "), F.element_at(words, -1)).alias("term"),
-        doc.alias("border"), (F.size(words) - 1).cast("long").alias("pos")))
-    rows = (docs.where(F.size(words) > 0)
-            .select(doc.alias("_doc"), F.explode(F.concat(inner, outer)).alias("_row"))
-            .select("_row.term", "_row.border", place(F.col("_doc"), F.col("_row.pos")).alias("seen")))
-    # Both uses below select on the aggregate max(border): a filter on the key would be pushed
-    # below the shuffle, and the text would be read and shuffled twice.
-    grouped = rows.groupBy("term", "border").agg(
-        F.count(F.lit(1)).alias("count"), F.min("seen").alias("first_seen"), F.max("border").alias("ord"))
-    inside = grouped.where(F.col("ord").isNull()).select("term", "count", "first_seen")
+        return inside
     outer_words = F.split("term", " ")
-    ends = grouped.where(F.col("ord").isNotNull()).select(
+    ends = grouped.where(F.col("kind") == _BORDER).select(
         "ord", F.get(outer_words, F.lit(0)).alias("first"), F.get(outer_words, F.lit(1)).alias("last"),
         "count", "first_seen")
     across = followed_by(ends, ["count", "first_seen"], _LEVELS).select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ..functions.stopwords import ENGLISH
 from ..functions.text import drop_words, title_and_summary, tokens_strip
-from ..operators.counts import pair_counts, term_counts, top_k
+from ..operators.counts import top_k, word_and_pair_counts
 
 
 def corpus_tokens(articles: DataFrame, doc_ord: str, stop: Sequence[str] = ENGLISH, min_length: int = 3) -> DataFrame:
@@ -21,7 +21,7 @@ def frequency_tables(articles: DataFrame, doc_ord: str, n: int = 50, stop: Seque
                      cross_document: bool = True) -> dict[str, DataFrame]:
     """The n most frequent words (Word, Count) and word pairs (Bigram, Count)."""
     tokens = corpus_tokens(articles, doc_ord, stop)
-    words = top_k(term_counts(tokens, "tokens", doc_ord), n)
-    pairs = top_k(pair_counts(tokens, "tokens", doc_ord, cross_document), n)
+    counted = word_and_pair_counts(tokens, "tokens", doc_ord, cross_document)
+    words, pairs = (top_k(counts, n) for counts in counted)
     return {"words": words.selectExpr("term AS Word", "count AS Count"),
             "bigrams": pairs.selectExpr("term AS Bigram", "count AS Count")}

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.stopwords import PRODUCT
 from ..functions.text import drop_words, tokens_regex
-from ..operators.counts import pair_counts, term_counts, top_k, value_counts
+from ..operators.counts import top_k, value_counts, word_and_pair_counts
+from ..session import written
 
 
 def _section(number: int, name: str, counts: DataFrame) -> DataFrame:
@@ -26,8 +27,11 @@ def product_report(products: DataFrame, order: str, words: int = 20, pairs: int
                    stop: Sequence[str] = PRODUCT) -> DataFrame:
     """(section_ord, rank, section, metric, value) from products (url, designer, title) with an order number.
 
-    Order by section_ord, rank for the report. All items are part of it, so they are not sorted here.
+    Order by section_ord, rank for the report. All items are part of it, so they are not sorted here. Runs one job while
+    it is built.
     """
+    # titles and designers are taken out of the pages once; all sections read this narrow table
+    products = written(products.select(order, "url", "designer", "title"))
     tokens = with_tokens(products, stop)
     total = products.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(0).alias("section_ord"), F.lit(1).cast("long").alias("rank"), F.lit("summary").alias("section"),
@@ -36,8 +40,9 @@ def product_report(products: DataFrame, order: str, words: int = 20, pairs: int
         F.lit(4).alias("section_ord"), F.col(order).cast("long").alias("rank"), F.lit("items").alias("section"),
         F.concat_ws(" | ", F.coalesce("designer", F.lit("")), F.coalesce("title", F.lit(""))).alias("metric"),
         F.col("url").alias("value"))
+    word_counts, pair_counts = word_and_pair_counts(tokens, "tokens", order)
     return (total
-            .unionByName(_section(1, "top_words", top_k(term_counts(tokens, "tokens", order), words)))
-            .unionByName(_section(2, "top_bigrams", top_k(pair_counts(tokens, "tokens", order), pairs)))
+            .unionByName(_section(1, "top_words", top_k(word_counts, words)))
+            .unionByName(_section(2, "top_bigrams", top_k(pair_counts, pairs)))
             .unionByName(_section(3, "top_designers", top_k(value_counts(products, "designer", order), designers)))
             .unionByName(items))

@@ -16,10 +16,11 @@ from ..schemas import require_columns
 DEDUPE_KEYS = ("link", "title", "topic")
 
 
-def scored_articles(articles: DataFrame, order: Sequence[str] = ("ingested_at",), iso: bool = False) -> DataFrame:
+def scored_articles(articles: DataFrame, order: Sequence[str], iso: bool = False) -> DataFrame:
     """Articles with a valid time, the last copy of each, with source and week key.
 
-    ``order`` tells the rows apart from first to last, for example file name and row number.
+    ``order`` tells the rows apart from first to last, for example ("source_file", "row_ord"). Rows which it does not
+    tell apart follow each other by their other columns, so the result never depends on partitions.
     Without a link column nothing is deduplicated and the source is ``unknown``.
     """
     require_columns(articles, ["ingested_at", "topic", "title", *order])
@@ -30,7 +31,8 @@ def scored_articles(articles: DataFrame, order: Sequence[str] = ("ingested_at",)
         narrow = narrow.withColumn("ingested_at", parse_ts("ingested_at"))
     narrow = narrow.where(F.col("ingested_at").isNotNull())
     if has_link:
-        narrow = keep_last(narrow, DEDUPE_KEYS, order)
+        rest = [c for c in narrow.columns if c not in order and c not in DEDUPE_KEYS]
+        narrow = keep_last(narrow, DEDUPE_KEYS, [*order, *rest])
     if "source" not in extra:
         narrow = narrow.withColumn("source", source_host("link") if has_link else F.lit("unknown"))
     return narrow.withColumns({"topic": F.col("topic").cast("string"),
@@ -48,7 +50,7 @@ def representative_headlines(articles: DataFrame, weekly: DataFrame, order: Sequ
             # deduplication and give it another shuffle than the counts use
             .agg(F.min(F.when(F.col("title").isNotNull(), F.struct(*order))).alias("pos"))
             .where(F.col("pos").isNotNull()))
-    rank = F.row_number().over(Window.partitionBy("topic").orderBy("pos"))
+    rank = F.row_number().over(Window.partitionBy("topic").orderBy("pos", "title"))
     first = seen.withColumn("rank", rank).where(F.col("rank") <= n)
     titles = F.array_sort(F.collect_list(F.struct("rank", "title")))
     return first.groupBy("topic").agg(
@@ -83,8 +85,7 @@ def with_previous(scores: DataFrame, previous: DataFrame | None = None) -> DataF
             .withColumn("score_delta", F.col("trend_score") - F.col("score_prev")))
 
 
-def trend_scores(articles: DataFrame, previous: DataFrame | None = None,
-                 order: Sequence[str] = ("ingested_at",), weights: tuple[float, float, float] = WEIGHTS,
+def trend_scores(articles: DataFrame, order: Sequence[str], previous: DataFrame | None = None, weights: tuple[float, float, float] = WEIGHTS,
                  bound: float = CLIP, headlines: int = 3, iso: bool = False,
                  calendar_prev: bool = False) -> DataFrame:
     """One row per topic ever seen, with the columns of ``schemas.TREND_SCORES``."""
@@ -103,3 +104,8 @@ def top_topics(scores: DataFrame, n: int = 10) -> DataFrame:
     """The n topics with the highest score; equal scores are ordered by topic."""
     return (scores.orderBy(F.desc("trend_score"), "topic").limit(n)
             .select("topic", "trend_score", "mentions_this_week", "source_count"))
+
+
+def topics_as_text(articles: DataFrame) -> DataFrame:
+    """(topic): the different topics in the order of their text, 10 before 2."""
+    return articles.select(F.col("topic").cast("string").alias("topic")).where(F.col("topic").isNotNull()).distinct().orderBy("topic")

@@ -6,16 +6,20 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.files import list_files, read_csv
+from ..sources.files import headers, list_files, read_csv
 from ..sources.snapshots import new_since
 
+# How runs and days are named.
+STAMP_NAME, STAMP_PATTERN = "%Y%m%d_%H%M%S", "yyyyMMdd_HHmmss"
+DAY_NAME, DAY_PATTERN = "%d-%m-%Y", "dd-MM-yyyy"
+
 
 def run_stamp(now: datetime | None = None) -> str:
-    return (now or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y%m%d_%H%M%S")
+    return (now or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime(STAMP_NAME)
 
 
 def _day(run_ts: Column) -> Column:
-    return F.date_format(F.to_timestamp(run_ts, "yyyyMMdd_HHmmss"), "yyyy-MM-dd")
+    return F.date_format(F.to_timestamp(run_ts, STAMP_PATTERN), "yyyy-MM-dd")
 
 
 def write_snapshot(df: DataFrame, root: str, run_ts: str) -> None:
@@ -53,7 +57,7 @@ def write_sheets(path: str, **sheets: DataFrame) -> None:
 
 
 def archive_day(run_date: Column) -> Column:
-    return F.date_format(run_date, "dd-MM-yyyy")
+    return F.date_format(run_date, DAY_PATTERN)
 
 
 def archive_new(spark: SparkSession, folder: str, before: DataFrame, archive: str, day: datetime,
@@ -64,8 +68,12 @@ def archive_new(spark: SparkSession, folder: str, before: DataFrame, archive: st
     """
     files = list_files(spark, folder, f"{prefix}_*.csv").where(~F.contains("name", F.lit("_latest")))
     fresh = new_since(files, before, ["path"])
-    rows = read_csv(spark, f"{folder}/{prefix}_*.csv").withColumn("source_file", F.col("_metadata.file_name"))
-    label = day.strftime("%d-%m-%Y")
-    (rows.join(fresh.select(F.col("name").alias("source_file")), "source_file", "left_semi")
-     .withColumn("run_day", F.lit(label)).write.mode("append").partitionBy("run_day").parquet(archive))
+    # files of one header are read together; each file is one partition, and storing it again replaces it
+    heads = headers(spark, folder, f"{prefix}_*.csv").select("header", F.explode("paths").alias("path"))
+    named = heads.withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1)).join(fresh.select("name"), "name", "left_semi")
+    for row in named.groupBy("header").agg(F.collect_list("path").alias("paths")).collect():
+        rows = read_csv(spark, row["paths"])
+        (rows.withColumns({"source_file": F.col("_metadata.file_name"), "run_day": F.lit(day.strftime(DAY_NAME))})
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_day", "source_file")
+         .parquet(archive))
     return fresh

@@ -2,26 +2,64 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 STAMP = r"\d{8}_\d{6}"  # fixed value: YYYYMMDD_HHMMSS in UTC
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
-    """Header, quotes doubled inside quotes, line breaks inside quotes. Without a schema all columns
-    are text under the header's names, so nothing is read twice to guess types."""
-    reader = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-              .option("multiLine", True).option("ignoreCorruptFiles", True))
-    return (reader.schema(schema) if schema is not None else reader).csv(path)
+def _text_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All columns as text under the header's names. Quotes are doubled inside quotes, line breaks may be inside quotes."""
+    return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
+            .option("multiLine", True).csv(path))
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """(path, name) of the files below a folder; their content is not opened."""
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-               .option("pathGlobFilter", glob).load(folder))
+def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns by name; absent ones are null, and so is what cannot be cast."""
+    return df.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType))
+                       .alias(f.name) for f in schema])
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Files of one header. With a schema its columns are taken by name, in whatever order the file has them."""
+    df = _text_csv(spark, path)
+    return df if schema is None else _typed(df, _schema(schema))
+
+
+def _schema(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def list_files(spark: SparkSession, folder: str, glob: str = "*", below: bool = False) -> DataFrame:
+    """(path, name) of the files in a folder, with ``below`` also in folders within; their content is not opened."""
+    reader = spark.read.format("binaryFile")
+    if below:
+        listing = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(folder)
+    else:
+        try:
+            listing = reader.load(f"{folder}/{glob}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            listing = spark.createDataFrame([], "path string")
     return listing.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"))
 
 
+def headers(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    """(header, paths): the first lines of the files in a folder and the files which begin with each."""
+    try:
+        lines = spark.read.text(f"{folder}/{glob}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "header string, paths array<string>")
+    lines = lines.select(
+        "value", F.monotonically_increasing_id().alias("at"), F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"))
+    first = lines.where("block = 0").groupBy("path").agg(F.min_by("value", "at").alias("header"))
+    return first.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+
+
 def newest_raw(spark: SparkSession, folder: str, prefix: str, column: str = "ingested_at") -> str:
     """Path of the newest ``prefix_<stamp>.csv``, else of the newest ``prefix_*.csv`` whose header has
     the column. Raises FileNotFoundError when there is neither."""
@@ -30,10 +68,12 @@ def newest_raw(spark: SparkSession, folder: str, prefix: str, column: str = "ing
     best = strict.agg(F.max_by("path", "name")).first()[0]
     if best:
         return best
-    # a listing of one prefix: names only, newest first, and the headers one after the other
-    for row in files.orderBy(F.desc("name")).toLocalIterator():
-        if column in read_csv(spark, row["path"]).columns:
-            return row["path"]
+    # headers of all files in one job
+    names = headers(spark, folder, f"{prefix}_*.csv")
+    with_column = names.where(F.array_contains(F.split(F.regexp_replace("header", '"', ""), ","), column))
+    best = with_column.select(F.explode("paths").alias("path")).agg(F.max("path")).first()[0]
+    if best:
+        return best
     raise FileNotFoundError(f"no {prefix}_*.csv with a column {column} in {folder}")
 
 
@@ -47,12 +87,34 @@ def newest(spark: SparkSession, folder: str, prefix: str, fallback: bool = True)
     return best
 
 
-def all_history(spark: SparkSession, folder: str, prefix: str, schema: T.StructType) -> DataFrame:
+def all_history(spark: SparkSession, folder: str, prefix: str, schema: T.StructType | str) -> DataFrame:
     """All ``prefix_*.csv`` as one table with ``source_file`` and ``row_ord``, which orders the rows of
-    one file. Unreadable files are skipped."""
-    return (read_csv(spark, f"{folder}/{prefix}_*.csv", schema)
-            .withColumns({"source_file": F.col("_metadata.file_name"),
-                          "row_ord": F.monotonically_increasing_id()}))
+    one file. Columns are matched by name: files of one header are read together, a column which they lack is null."""
+    schema = _schema(schema)
+    out = spark.createDataFrame([], schema).withColumns(
+        {"source_file": F.lit(None).cast("string"), "row_ord": F.lit(None).cast("long")})
+    for row in headers(spark, folder, f"{prefix}_*.csv").orderBy("header").collect():  # a few kinds of header
+        read = _text_csv(spark, row["paths"]).withColumns(
+            {"_file": F.col("_metadata.file_name"), "_at": F.monotonically_increasing_id()})
+        named = [f for f in schema if f.name in read.columns]
+        columns = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in named]
+        rows = read.select(*columns, F.col("_file").alias("source_file"), F.col("_at").alias("row_ord"))
+        out = out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
+def left_out(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
+    """(path, name) of the ``prefix_*.csv`` of which history holds no row, as they have a header alone. Spark lists no files
+    of no bytes."""
+    glob = f"{prefix}_*.csv"
+    try:
+        rows = spark.read.text(f"{folder}/{glob}").select(F.col("_metadata.file_name").alias("name"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], "name string")
+    filled = rows.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
+    return list_files(spark, folder, glob).join(filled, "name", "left_anti").select("path", "name")
 
 
 def non_empty(df: DataFrame, what: str) -> DataFrame:

@@ -42,40 +42,48 @@ def product_cards(pages: DataFrame, key: str, html: str, base: str) -> DataFrame
 
 
 class _CardReader(HTMLParser):
-    """Collects the cards of one page."""
+    """Collects the cards of one page. Elements may lack their end tag, and end tags their element: an end tag closes the
+    innermost open element of its name and all inside it; without such an element it is ignored. A card ends with its
+    link, or where another link begins, since links do not nest."""
 
     VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 
     def __init__(self) -> None:
         super().__init__()
         self.cards: list[dict[str, str]] = []
-        self.depth, self.open_card, self.open_part = 0, None, None
+        self.open: list[str] = []  # names of open elements
+        self.card, self.part_at, self.part, self.seen = None, None, "", set()
+
+    def _close(self, depth: int) -> None:
+        del self.open[depth:]
+        if self.part_at is not None and self.part_at >= depth:
+            self.part_at = None
+        if self.card is not None and self.card >= depth:
+            self.card = self.part_at = None
 
     def handle_starttag(self, tag, attrs):
         if tag in self.VOID:
             return
-        self.depth += 1
+        if tag == "a" and self.card is not None:
+            self._close(self.card)
         attrs = dict(attrs)
         name = attrs.get("data-component")
-        if tag == "a" and name == CARD and self.open_card is None:
+        if tag == "a" and name == CARD:
             self.cards.append({"href": attrs.get("href") or "", "designer": "", "title": ""})
-            self.open_card, self.seen = self.depth, set()
+            self.card, self.seen = len(self.open), set()
         part = {CARD_DESIGNER: "designer", CARD_TITLE: "title"}.get(name)
-        if self.open_card and part and self.open_part is None and part not in self.seen:
-            self.open_part, self.part = self.depth, part
+        if self.card is not None and part and part not in self.seen:
+            # parts do not nest: an open one lacks its end tag
+            self.part_at, self.part = len(self.open), part
             self.seen.add(part)
+        self.open.append(tag)
 
     def handle_endtag(self, tag):
-        if tag in self.VOID:
-            return
-        if self.open_part == self.depth:
-            self.open_part = None
-        if self.open_card == self.depth:
-            self.open_card = None
-        self.depth -= 1
+        if tag in self.open:
+            self._close(len(self.open) - 1 - self.open[::-1].index(tag))
 
     def handle_data(self, data):
-        if self.open_part:
+        if self.part_at is not None:
             self.cards[-1][self.part] += data.strip()
 
 

@@ -17,7 +17,7 @@ def read_latest(spark: SparkSession, root: str, before: str | None = None) -> Da
     """The newest run, or the newest one before a stamp. The run is chosen from the file listing,
     so the files of older runs are not opened."""
     run = F.regexp_extract("path", r"/run_ts=([^/]+)/", 1)
-    files = list_files(spark, root, "*.parquet").select(
+    files = list_files(spark, root, "*.parquet", below=True).select(
         run.alias("run_ts"), F.regexp_extract("path", r"^(.*/run_ts=[^/]+)/", 1).alias("folder"))
     if before is not None:
         files = files.where(F.col("run_ts") < before)

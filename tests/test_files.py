@@ -49,6 +49,21 @@ def test_all_history(spark, tmp_path):
     assert order["a"] < order["b"]
 
 
+def test_history_by_name(spark, tmp_path):
+    put(tmp_path, "h_1.csv", 'title,link\n"T1, x",L1\n')
+    put(tmp_path, "h_2.csv", "link,title\nL2,T2\n")
+    put(tmp_path, "h_3.csv", "other,title\nx,T3\n")
+    put(tmp_path, "h_4.csv", "title,link\n")
+    (tmp_path / "old").mkdir()
+    put(tmp_path / "old", "h_9.csv", "title,link\nT9,L9\n")
+    rows = I.all_history(spark, str(tmp_path), "h", "title string, link string").collect()
+    assert sorted((r["title"], r["link"], r["source_file"]) for r in rows) == [
+        ("T1, x", "L1", "h_1.csv"), ("T2", "L2", "h_2.csv"), ("T3", None, "h_3.csv")]
+    assert [r["name"] for r in I.left_out(spark, str(tmp_path), "h").collect()] == ["h_4.csv"]
+    assert I.newest(spark, str(tmp_path), "h").endswith("h_4.csv")
+    assert tuple(I.read_csv(spark, str(tmp_path / "h_2.csv"), "title string, link string").first()) == ("T2", "L2")
+
+
 def test_guards(spark):
     with pytest.raises(ValueError, match="no rows"):
         I.non_empty(spark.range(0), "articles")
@@ -99,7 +114,9 @@ def test_archive(spark, tmp_path):
     put(tmp_path / "data", "t_latest.csv")
     fresh = O.archive_new(spark, folder, before, archive, datetime(2024, 1, 2, tzinfo=timezone.utc), "t")
     assert [r["name"] for r in fresh.collect()] == ["t_20240102_000000.csv"]
-    assert [tuple(r) for r in spark.read.parquet(archive).select("title", "run_day").collect()] == [("b", "02-01-2024")]
+    for _ in range(2):  # a repeated run stores nothing twice
+        assert [tuple(r) for r in spark.read.parquet(archive).select("title", "run_day").collect()] == [("b", "02-01-2024")]
+        O.archive_new(spark, folder, before, archive, datetime(2024, 1, 2, tzinfo=timezone.utc), "t")
 
 
 def test_stamp():

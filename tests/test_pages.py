@@ -61,6 +61,10 @@ def test_polling_takes_each_document_once(spark, landed, seed):
     assert poll() == ["No link", "One & only", "Three", "Two"]
     (landed / "feeds" / "c.xml").write_text(RSS.replace("http://a/2", "http://a/9").replace("Two", "Nine"))
     assert poll() == ["Nine", "No link", "One & only", "Three", "Two"] == poll()
+    # a new checkpoint on the old table overwrites nothing and stores nothing twice
+    state = str(landed / "state2")
+    assert poll() == ["Nine", "No link", "One & only", "Three", "Two"]
+    assert spark.read.parquet(table).count() == 5
 
 
 @pytest.mark.parametrize("html, url", [
@@ -108,6 +112,21 @@ def test_nested_markup_needs_the_parser(spark):
     assert L.nested_product_cards(page, "id", "html", BASE).first()["designer"] == "TheRow"
 
 
+@pytest.mark.parametrize("html, cards", [
+    # unclosed paragraphs, a stray end tag, and links without end
+    ('<a data-component="ProductCardLink" href="1"><p data-component="ProductCardBrandName">A<p data-component="ProductCardDescription">t1'
+     '</a><a data-component="ProductCardLink" href="2"><p data-component="ProductCardBrandName">B</div></p>x</a>',
+     [("A", "t1"), ("B", "")]),
+    ('<div><a data-component="ProductCardLink"><b data-component="ProductCardBrandName">A</b>'
+     '<a data-component="ProductCardLink"><i data-component="ProductCardDescription">t</i></div><p>z</p>', [("A", ""), ("", "t")]),
+    ('</a></p><a href="x">no</a><a data-component="ProductCardLink"><div><div data-component="ProductCardBrandName"><div>In</div>ner'
+     '</div>out</div></a>late', [("Inner", "")])])
+def test_cards_in_untidy_markup(spark, html, cards):
+    page = spark.createDataFrame([(1, html)], "id int, html string")
+    got = L.nested_product_cards(page, "id", "html", BASE).orderBy("card_ord").collect()
+    assert [(r["designer"], r["title"]) for r in got] == cards
+
+
 def test_listing_links(spark):
     html = '<a href="/women/p/a/1">1</a><a href="/women/p/a/1">1</a><a href="/men/p/2">2</a><a name="x">3</a>'
     pages = spark.createDataFrame([(html,), (html,)], "html string")
