@@ -1,17 +1,18 @@
 """Near-duplicate lines across documents by a deletion-neighbourhood join, in DataFrame operations only.
 
-A line is its sequence of words, ASCII letters lower-cased. Two lines are copies when they are equal, or, with
-``least_words`` words or more, when one word is inserted, deleted or replaced. A line goes when an earlier
-line (by doc_id, then line number) is a copy.
+A line is its sequence of words. Two lines are copies when they are equal, or, with ``least_words`` words or more, when
+one word is inserted, deleted or replaced. A line goes when an earlier line (by doc_id, then line number) is a copy.
 
 The neighbourhood of a line is the line itself and the line without its i-th word, each as a hashed key. A key equal with
 the same i means one word replaced; the whole of a line equal to another's variant means one inserted. Only the
 earliest line of each key matters, so variants are aggregated to minima: no pairs within a key are made, and a key
 shared by very many lines is combined before the shuffle. Key matches are then verified on the words.
 
-Keys come from prefix and suffix XORs of position-salted word hashes, in time proportional to the line's words.
-Variants are made only for lines that share their first or last words with another line, which every
-copy by one word must do: 4 words, and 12 for lines from 27 words on.
+A key adds up the hashes of a line's neighbouring words. Leaving a word out takes two of them away and adds one, so all
+variants of a line cost time in proportion to its words. Other lines may have the same neighbours in another order: where
+a match fails the test on the words, all lines of its key are tested. Variants are made only for lines that share
+their first or last words with another line, which every copy by one word must do: 4 words, and 12 for lines from 27
+words on.
 
 Defined results: null texts have no lines; lines without a word are never copies; lines of documents with the same id and line number
 count as one place; rows with a null id come first.
@@ -19,10 +20,10 @@ count as one place; rows with a null id come first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import written
-from .words import SPACE, ascii_lower, words
+from .words import SPACE
 
 SHORT, LONG = 4, 12  # words at either end which a copy shares
 LONG_FROM = 27  # lines of so many words must share LONG of them; two lengths more use both
@@ -31,57 +32,77 @@ LONG_FROM = 27  # lines of so many words must share LONG of them; two lengths mo
 NO_ID = -1 << 63  # stands for a null id
 
 
-def _place() -> Column:
-    return F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.col("line").alias("line"))
+def _place(doc_id: Column, line: Column) -> Column:
+    """Sort key of a line; a decimal keeps minima in hash aggregates."""
+    return (F.coalesce(doc_id, F.lit(NO_ID)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)")
+            + line.cast("decimal(11,0)")).cast("decimal(38,0)").alias("place")
 
 
-def lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, line (from 0), content, w (the words) of every line with a word."""
-    split = docs.select(F.col(key).cast("long").alias("doc_id"),
-                        F.posexplode(F.split(F.col(text), "\\n")).alias("line", "content"))
-    return split.select("*", words(ascii_lower(F.col("content"))).alias("w")).where(F.size("w") > 0)
+def line_words(line: Column) -> Column:
+    """The words of a line. Blanks become spaces first: splitting at one character is much faster than by a pattern."""
+    for blank in "\t\v\f\r\n":
+        line = F.replace(line, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(line, " "), "")
 
 
-def _distinct_lines(found: DataFrame) -> DataFrame:
-    """The first place of each different line, and the hashes of its ends."""
-    def ends(n: int) -> list[Column]:
-        return [F.xxhash64(F.slice("w", 1, n)), F.xxhash64(F.slice("w", -n, n))]
+def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id, line (from 0) and content of every line."""
+    return docs.select(F.col(key).cast("long").alias("doc_id"),
+                       F.posexplode(F.split(F.col(text), "\n")).alias("line", "content"))
 
+
+def _distinct_lines(lines: DataFrame) -> DataFrame:
+    """The first place of each different line with a word, its number of words and the hashes of its ends."""
+    found = lines.select("doc_id", "line", line_words(F.col("content")).alias("w")).where(F.size("w") > 0)
     size = F.size("w")
+    mid, long = (size > 2 * SHORT) & (size <= LONG_FROM + 1), size >= LONG_FROM
+
+    def end(when: Column, start: int, n: int) -> Column:
+        return F.when(when, F.xxhash64(F.slice("w", start, n)))
+
+    ends = (end(mid, 1, SHORT), end(mid, -SHORT, SHORT), end(long, 1, LONG), end(long, -LONG, LONG))
     narrow = found.select(
-        F.unhex(F.md5(F.concat_ws(" ", "w").cast("binary"))).alias("same"), _place().alias("place"), size.alias("n"),
-        F.when((size > 2 * SHORT) & (size <= LONG_FROM + 1), F.array(*ends(SHORT))).alias("short"),
-        F.when(size >= LONG_FROM, F.array(*ends(LONG))).alias("long"))
-    return narrow.groupBy("same").agg(F.min("place").alias("place"), F.first("n").alias("n"),
-                                      F.first("short").alias("short"), F.first("long").alias("long"))
+        F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"), _place(F.col("doc_id"), F.col("line")),
+        size.alias("n"), *[c.alias(f"end{i}") for i, c in enumerate(ends)])
+    return narrow.groupBy("h1", "h2", "n").agg(F.min("place").alias("place"),
+                                               *[F.max(f"end{i}").alias(f"end{i}") for i in range(4)])
 
 
 def _neighbours(distinct: DataFrame, least_words: int) -> DataFrame:
     """Places of lines that may have a copy by one word: they share an end with another line, or are short."""
     able = distinct.where(F.col("n") >= least_words)
-    ends = able.select("place", F.posexplode(F.array(
-        F.get("short", F.lit(0)), F.get("short", F.lit(1)), F.get("long", F.lit(0)), F.get("long", F.lit(1)))
-    ).alias("side", "hash")).where("hash IS NOT NULL")
+    ends = able.select("place", F.posexplode(F.array(*[f"end{i}" for i in range(4)])).alias("side", "hash")).where(
+        "hash IS NOT NULL")
     shared = ends.groupBy("hash", "side").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("hash", "side")
     return (ends.join(shared, ["hash", "side"], "left_semi").select("place")
             .unionByName(able.where(F.col("n") <= 2 * SHORT).select("place")).distinct())
 
 
-def _variants(candidates: DataFrame) -> DataFrame:
-    """place, i, key: the line without its i-th word, and the whole line with i = -1."""
-    exploded = candidates.select("place", F.posexplode("w").alias("i", "word")).select(
-        "place", "i", F.xxhash64("word", "i").alias("here"), F.xxhash64("word", F.col("i") - 1).alias("moved"))
-    line = W.partitionBy("place")
-    running = line.orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
+def _pair(a: Column, b: Column) -> Column:
+    """Hash of two neighbouring words, 40 bits so that a line's sum fits; null stands beyond the ends."""
+    return F.shiftrightunsigned(F.xxhash64(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))), 24)
+
 
-    def xor(column: str, window) -> Column:
-        return F.bit_xor(column).over(window)
+def _candidates(lines: DataFrame, distinct: DataFrame, least_words: int) -> DataFrame:
+    """id (in the order of places), place, w and sum of the lines whose variants are made."""
+    wanted = _neighbours(distinct, least_words)
+    texts = lines.select(_place(F.col("doc_id"), F.col("line")), "content").join(wanted, "place").dropDuplicates(["place"])
+    ordered = written(texts.repartitionByRange("place").sortWithinPartitions("place").select(
+        F.monotonically_increasing_id().alias("id"), "place", line_words(F.col("content")).alias("w")))
+    inner = F.transform("w", lambda x, i: _pair(x, F.get("w", i + 1)))
+    total = F.aggregate(inner, _pair(F.lit(None), F.get("w", F.lit(0))), lambda a, x: a + x)
+    return written(ordered.select("*", total.alias("total")))
 
-    before = xor("here", running).bitwiseXOR(F.col("here"))
-    after = xor("moved", line).bitwiseXOR(xor("moved", running))
-    without = exploded.select("place", "i", before.bitwiseXOR(after).alias("key"))
-    whole = exploded.groupBy("place").agg(F.bit_xor("here").alias("key"))
-    return without.unionByName(whole.select("place", F.lit(-1).alias("i"), "key"))
+
+def _variants(candidates: DataFrame) -> DataFrame:
+    """id, i, key: the line without its i-th word, and the whole line with i = -1."""
+    def without(x: Column, i: Column) -> Column:
+        before, after = F.when(i > 0, F.get("w", i - 1)), F.get("w", i + 1)
+        return F.struct(i.alias("i"), (F.col("total") - _pair(before, x) - _pair(x, after) + _pair(before, after)).alias("key"))
+
+    whole = F.array(F.struct(F.lit(-1).alias("i"), F.col("total").alias("key")))
+    return candidates.select("id", F.size("w").alias("n"), F.inline(F.concat(whole, F.transform("w", without)))).select(
+        "id", "i", F.xxhash64("key", F.col("n") - F.when(F.col("i") < 0, 0).otherwise(1)).alias("key"))
 
 
 def _within_one(a: str, b: str) -> Column:
@@ -97,27 +118,35 @@ def _within_one(a: str, b: str) -> Column:
         longer == 1, rest(a, at + 1) == rest(b, at)).when(longer == -1, rest(a, at) == rest(b, at + 1)).otherwise(False)
 
 
-def _near(docs_lines: DataFrame, distinct: DataFrame, least_words: int) -> DataFrame:
-    """place of every different line which has an earlier copy by one word, and the earliest such line's place."""
-    wanted = _neighbours(distinct, least_words).select("place", F.col("place.doc_id").alias("_d"),
-                                                       F.col("place.line").alias("line"))
-    at = F.coalesce("doc_id", F.lit(NO_ID)).alias("_d")
-    texts = docs_lines.select(at, "line", "content").join(wanted, ["_d", "line"])
-    candidates = written(texts.select("place", words(ascii_lower(F.col("content"))).alias("w"))
-                         .dropDuplicates(["place"]))
+def _verified(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Pairs (id, first) with ok: whether the lines are copies."""
+    words = candidates.select("id", "w")
+    both = pairs.join(words, "id").join(words.toDF("first", "w2"), "first")
+    return both.select("id", "first", _within_one("w", "w2").alias("ok"))
+
+
+def _near(lines: DataFrame, distinct: DataFrame, least_words: int) -> DataFrame:
+    """place of every different line which has an earlier copy by one word."""
+    candidates = _candidates(lines, distinct, least_words)
     variants = _variants(candidates)
-    keys = variants.groupBy("key", "i").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("c"))
+    keys = variants.groupBy("key", "i").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("c"))
     whole = F.min(F.when(F.col("i") < 0, F.col("first"))).alias("whole")
     part = F.min(F.when(F.col("i") >= 0, F.col("first"))).alias("part")
-    # keys of one line only are no match
+    # keys of one line only are no match; a key has an entry per place in the line at most
     shared = keys.groupBy("key").agg(whole, part, F.sum("c").alias("c"), F.collect_list(
-        F.struct("i", "first", "c")).alias("at")).where("c > 1").select("key", "whole", "part", F.inline("at"))
+        F.struct("i", "first")).alias("at")).where("c > 1").select("key", "whole", "part", F.inline("at"))
     target = F.when(F.col("i") < 0, F.col("part")).otherwise(F.least("first", "whole"))
-    shared = shared.select("key", "i", target.alias("first"))
-    matches = (variants.join(shared, ["key", "i"]).where("first < place").select("place", "first").distinct())
-    pairs = (matches.join(candidates, "place")
-             .join(candidates.select(F.col("place").alias("first"), F.col("w").alias("w2")), "first"))
-    return pairs.where(_within_one("w", "w2")).groupBy("place").agg(F.min("first").alias("first"))
+    shared = written(shared.select("key", "i", target.alias("first")).where("first IS NOT NULL"))
+    matches = written(variants.join(shared, ["key", "i"]).where("first < id").select("key", "id", "first"))
+    tested = written(_verified(matches.select("id", "first").distinct(), candidates))
+    good = tested.where("ok").select("id")
+    doubtful = tested.where("NOT ok").select("id", "first").join(good, "id", "left_anti")
+    if not doubtful.isEmpty():
+        bad = matches.join(doubtful, ["id", "first"]).select("key", "id").distinct()
+        others = variants.select("key", F.col("id").alias("first")).join(bad.select("key").distinct(), "key", "left_semi")
+        pairs = bad.join(others.distinct(), "key").where("first < id").select("id", "first").distinct()
+        good = good.unionByName(_verified(pairs, candidates).where("ok").select("id"))
+    return candidates.select("id", "place").join(good.distinct(), "id", "left_semi").select("place")
 
 
 def line_verdicts(docs: DataFrame, least_words: int = 8, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -125,13 +154,13 @@ def line_verdicts(docs: DataFrame, least_words: int = 8, key: str = "doc_id", te
 
     Documents without a line that was first somewhere have no row.
     """
-    found = lines(docs, key, text)
-    distinct = written(_distinct_lines(found))
-    content = docs.select(F.col(key).cast("long").alias("doc_id"),
-                          F.posexplode(F.split(F.col(text), "\n")).alias("line", "content"))
-    near = _near(content, distinct, least_words)
+    lines = _lines(docs, key, text)
+    distinct = written(_distinct_lines(lines))
+    near = _near(lines, distinct, least_words).withColumn("goes", F.lit(True))
+    doc = F.floor(F.col("place") / (1 << 31))
     first = distinct.select("place").join(near, "place", "left").select(
-        F.col("place.doc_id").alias("doc_id"), F.col("place.line").alias("line"), F.col("first").isNull().alias("stays"))
+        doc.cast("long").alias("doc_id"), (F.col("place") - doc.cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)"))
+        .cast("int").alias("line"), F.col("goes").isNull().alias("stays"))
     # a group is the lines of one document
     stays = F.sort_array(F.collect_list(F.when(F.col("stays"), F.col("line")))).alias("kept")
     return first.groupBy("doc_id").agg(
