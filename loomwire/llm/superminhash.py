@@ -11,9 +11,9 @@ bands; documents with an equal band are candidates. A bucket is worked off in tw
 1. every member is compared with the bucket's least document; links found join components,
 2. members outside the bucket's main component are compared with members of other components.
 
-After that any two members of a bucket are in one component or have been compared. A pair must first agree in one byte
-of at least ``least_sketch`` of the m places, 6 standard deviations below the similarity asked for; then the full
-shingle sets decide.
+After that any two members of a bucket are in one component or have been compared: by their set sizes, by one bit of each
+place, by one byte of each place, where agreement within 6 standard deviations of the similarity asked for passes, and
+at last by the full shingle sets, which decide.
 
 Defined results: a document without words has an empty set and is alone; one with fewer than n words has its word sequence as
 only shingle; rows with the same id are one node and give a row each; rows with a null id are alone, component null, kept.
@@ -43,9 +43,10 @@ class Near:
     places: int = 256
     rows: int = 5  # places per band; a pair at 75 percent misses all 51 bands once in a million
 
-    @property
-    def least_sketch(self) -> int:
+    def least_agreeing(self, bits: int) -> int:
+        """Places of two sketches with so many bits each that agree at the similarity asked for, less 6 deviations."""
         p = self.percent / 100
+        p += (1 - p) / 2 ** bits
         return int(self.places * p - 6 * (self.places * p * (1 - p)) ** 0.5)
 
 
@@ -105,7 +106,7 @@ def bands(signature: np.ndarray, rows: int) -> np.ndarray:
     return mixed(key)
 
 
-SIGNED = "id long, same binary, n_shingles long, bands array<long>, sketch binary"
+SIGNED = "id long, same binary, n_shingles long, bands array<long>, sketch binary, bits array<long>"
 
 
 def _sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -125,13 +126,16 @@ def _signed(docs: DataFrame, near: Near) -> DataFrame:
                 elements = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
                 found = signatures(elements, np.concatenate(([0], np.cumsum(size))), near.places)
                 keys = bands(found, near.rows).view(np.int64)
-                sketch = np.ascontiguousarray((mixed(found) & np.uint64(0xFF)).astype(np.uint8))
+                salted = mixed(found)
+                sketch = np.ascontiguousarray((salted & np.uint64(0xFF)).astype(np.uint8))
+                bits = np.packbits((salted >> np.uint64(8)) & np.uint64(1) == 1, axis=1)
+                bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.int64)
                 offsets = np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(size),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())),
-                     pa.array([row.tobytes() for row in sketch], pa.binary())],
-                    ["id", "same", "n_shingles", "bands", "sketch"])
+                     pa.array([row.tobytes() for row in sketch], pa.binary()), pa.array(list(bits))],
+                    ["id", "same", "n_shingles", "bands", "sketch", "bits"])
 
     return docs.mapInArrow(sign, SIGNED)
 
@@ -144,7 +148,7 @@ def _agreeing(pairs: DataFrame, signed: DataFrame, near: Near) -> DataFrame:
                            for i in (2, 3))
             same = (left == right).sum(axis=1)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(
-                pa.array(same >= near.least_sketch))
+                pa.array(same >= near.least_agreeing(8)))
 
     ends = signed.select("id", "n_shingles", "sketch")
     joined = pairs.join(ends.toDF("a", "na", "sa"), "a").join(ends.toDF("b", "nb", "sb"), "b")
@@ -220,7 +224,7 @@ def near_duplicates(docs: DataFrame, near: Near = Near(), key: str = "doc_id", t
     shared = written(banded.join(buckets.where("leader < last").select("band", "leader"), "band"))
     members = shared.select("id").distinct()
     texts = written(rows.join(members, "id", "left_semi"))
-    known = usable.select("id", "n_shingles", "sketch").join(members, "id", "left_semi")
+    known = usable.select("id", "n_shingles", "sketch", "bits").join(members, "id", "left_semi")
 
     stars = shared.where("id > leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     first = _components(nodes, _linked(stars, known, texts, near).toDF("u", "v"))
@@ -231,12 +235,21 @@ def near_duplicates(docs: DataFrame, near: Near = Near(), key: str = "doc_id", t
     sizes = labelled.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
                                      F.count(F.lit(1)).alias("c")).where("c > 1").select("band", "main")
-    open_rows = written(labelled.join(main, "band"))
-    other = open_rows.where("component <> main").select("band", F.col("id").alias("x"), F.col("component").alias("cx"))
-    across = other.join(open_rows, "band").where("cx <> component AND (component = main OR x < id)")
+    facts = known.select("id", F.col("n_shingles").alias("n"), *[
+        F.col("bits")[i].alias(f"b{i}") for i in range(-(-near.places // 64))])
+    open_rows = written(labelled.join(main, "band").join(facts, "id"))
+    theirs = [c for c in facts.columns if c != "id"]
+    other = open_rows.where("component <> main").select(
+        "band", F.col("id").alias("x"), F.col("component").alias("cx"), *[F.col(c).alias(f"x_{c}") for c in theirs])
+    differing = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"x_{c}"))) for c in theirs[1:])
+    # one bit of each place and the set sizes, tested before a pair is made
+    across = other.join(open_rows, "band").where(
+        (F.col("cx") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("x") < F.col("id")))
+        & (differing <= near.places - near.least_agreeing(1))
+        & (F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * near.percent))
+    pairs = across.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
     # stars have been compared
-    pairs = across.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct().join(
-        stars, ["a", "b"], "left_anti")
+    pairs = pairs.join(stars, ["a", "b"], "left_anti")
     second = _linked(pairs, known, texts, near).toDF("u", "v")
     edges = second.unionByName(first.where("id <> component").select(F.col("id").alias("u"),
                                                                      F.col("component").alias("v")))
