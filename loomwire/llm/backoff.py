@@ -2,8 +2,9 @@
 
 Relations: exploded n-grams (block of documents, n-gram, count), count tables partitioned by a slice of the n-gram's
 hash, their join, and a sum per document. An n-gram appears once per block of documents and not once per
-document, counted beforehand, and the rows of a block and slice travel as one row of arrays. So no n-gram, however
-frequent, has more rows than there are blocks, and the shuffle stays near eight bytes per different n-gram of a block.
+document, counted beforehand, and the rows of a block and slice travel as one row of packed columns. So no n-gram,
+however frequent, has more rows than there are blocks, and the shuffle stays below six bytes per different n-gram of a
+block.
 
 Every count is reduced by the document's own occurrences: a text is scored by the rest of the corpus. The score of a
 word is n(context, word) / n(context) for the longest order seen elsewhere, times ``discount`` for each step down; an
@@ -28,7 +29,7 @@ from .words import ascii_lower, gram_hashes, split_words, word_hashes
 class Model:
     order: int = 3
     discount: float = 0.4
-    block_rows: int = 1024  # documents in a block
+    block_rows: int = 2048  # documents in a block, about
     slice_grams: int = 4_000_000  # n-grams in a slice of the hash range, about
 
 
@@ -96,14 +97,27 @@ def scores(block: Block, keys: np.ndarray, counts: np.ndarray, total: int, disco
         return sums / sizes
 
 
-ASKED = "block long, slice int, keys array<long>, counts array<int>"
-TOLD = "block long, slice int, counts array<long>"
+ASKED = "block long, slice int, keys binary, counts binary"
+TOLD = "block long, slice int, counts binary"
 
 
-def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
-    offsets = np.cumsum([0] + [len(v) for v in values])
-    flat = np.concatenate(values) if values else np.zeros(0)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat).cast(kind))
+def packed(numbers: np.ndarray) -> bytes:
+    """64-bit numbers byte by byte: all lowest bytes, then the next, so that the shuffle's compression drops the
+    bytes which are 0 in all of them."""
+    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as their steps, which are small where keys are many."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(raw), dtype=np.uint64)
 
 
 def backoff_scores(docs: DataFrame, model: Model = Model(), key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -127,23 +141,24 @@ def backoff_scores(docs: DataFrame, model: Model = Model(), key: str = "doc_id",
         number = group.column("block")[0].as_py()
         return pa.Table.from_arrays(
             [pa.array([number] * len(some), pa.int64()), pa.array(some, pa.int32()),
-             _lists([grams[at[i]:at[i + 1]].view(np.int64) for i in some], pa.int64()),
-             _lists([counts[at[i]:at[i + 1]] for i in some], pa.int32())], ["block", "slice", "keys", "counts"])
+             pa.array([packed_keys(grams[at[i]:at[i + 1]]) for i in some], pa.binary()),
+             pa.array([packed(counts[at[i]:at[i + 1]]) for i in some], pa.binary())], ["block", "slice", "keys", "counts"])
 
     def tell(group: pa.Table) -> pa.Table:
-        keys = [np.asarray(x.values).view(np.uint64) for x in group.column("keys")]
-        counts = np.concatenate([np.asarray(x.values) for x in group.column("counts")]).astype(np.int64)
+        keys = [unpacked_keys(x.as_py()) for x in group.column("keys")]
+        counts = np.concatenate([unpacked(x.as_py()) for x in group.column("counts")]).astype(np.int64)
         table, place = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.bincount(place, counts, len(table)).astype(np.int64)[place]
         ends = np.cumsum([len(k) for k in keys])
-        return pa.Table.from_arrays([group.column("block"), group.column("slice"),
-                                     _lists(np.split(sums, ends[:-1]), pa.int64())], ["block", "slice", "counts"])
+        return pa.Table.from_arrays(
+            [group.column("block"), group.column("slice"),
+             pa.array([packed(x) for x in np.split(sums, ends[:-1])], pa.binary())], ["block", "slice", "counts"])
 
     def score(texts: pa.Table, told: pa.Table) -> pa.Table:
         block = block_of(texts.column("plain").combine_chunks(), model.order)
         grams, _ = distinct_grams(block)
         parts = sorted(zip(told.column("slice").to_pylist(), told.column("counts")), key=lambda p: p[0])
-        counts = np.concatenate([np.asarray(p.values) for _, p in parts]) if parts else np.zeros(0, np.int64)
+        counts = np.concatenate([unpacked(p.as_py()) for _, p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
         found = scores(block, grams, counts, total, model.discount)
         size = np.diff(block.bounds)
         return pa.Table.from_arrays([texts.column("doc_id").combine_chunks(), pa.array(size, pa.int64()),
