@@ -8,6 +8,7 @@ from ..functions import text as T
 from ..functions.stopwords import ENGLISH
 from ..operators import counts as C
 from ..operators import keywords as K
+from ..operators.lemmas import clean_with_lemmas
 from ..operators.search import search_articles
 from ..plans.frequencies import corpus_tokens, frequency_tables
 from . import views as V
@@ -38,6 +39,14 @@ def long_list(spark: SparkSession, d: str) -> DataFrame:
                           F.array_join("tags", ",").alias("tags"))
 
 
+def lemma_text(spark: SparkSession, d: str) -> DataFrame:
+    """A dictionary of all words of the documents that end in s, without it."""
+    words = C.term_rows(_docs(spark, d).select(T.tokens_unicode("text").alias("tokens")), "tokens").distinct()
+    endings = words.where("length(term) > 4 AND endswith(term, 's')").select(
+        F.col("term").alias("word"), F.expr("substring(term, 1, length(term) - 1)").alias("lemma"))
+    return clean_with_lemmas(_docs(spark, d), "doc_id", "text", endings, V.STOP)
+
+
 def _tokens(spark: SparkSession, d: str) -> DataFrame:
     return corpus_tokens(V.articles(spark, d), "doc_id")
 
@@ -104,6 +113,7 @@ QUERIES = {
     "tokens_strip": lambda s, d: _listed(_docs(s, d), T.tokens_strip("text")),
     "tokens_regex": lambda s, d: _listed(_docs(s, d), T.tokens_regex("text")),
     "clean_text": lambda s, d: _docs(s, d).select("doc_id", T.clean_text("text", V.STOP).alias("text_clean")),
+    "clean_with_lemmas": lemma_text,
     "stopword_filter": stopword_filter,
     "stopword_anti": stopword_anti,
     "bigrams_within_doc": inner_pairs,
@@ -166,6 +176,10 @@ FROM articles LEFT JOIN found USING (doc_id) GROUP BY doc_id""",
     "tokens_regex": _sql_listed(sql_tokens_regex("text")),
     "clean_text": f"""SELECT doc_id, array_to_string(list_filter(regexp_extract_all(lower(text), '\\p{{L}}+'),
   lambda w: length(w) >= 3 AND NOT list_contains({sql_list(V.STOP)}, w)), ' ') AS text_clean FROM documents""",
+    "clean_with_lemmas": f"""SELECT doc_id, array_to_string(list_filter(list_transform(list_filter(
+    regexp_extract_all(lower(coalesce(text, '')), '\\p{{L}}+'), lambda w: NOT list_contains({sql_list(V.STOP)}, w)),
+  lambda w: CASE WHEN length(w) > 4 AND ends_with(w, 's') THEN left(w, -1) ELSE w END), lambda w: length(w) >= 3), ' ') AS text_clean
+FROM documents""",
     "stopword_filter": _sql_listed(sql_tokens_strip("text", V.STOP, 3)),
     "stopword_anti": f"""WITH {sql_words(sql_tokens_strip("text"), "doc_id", "documents")}
 SELECT term, count(*) AS count FROM words WHERE term NOT IN (SELECT unnest({sql_list(V.STOP)})) GROUP BY term""",

@@ -94,7 +94,7 @@ def op8_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark)
     token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer(), end_id=2)
-    return token_files.checked(token_files.read_token_files(spark, path))
+    return token_files.checked_token_files(spark, path)
 
 
 def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,4 +106,74 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op5_warc_segments, op6_tree_mix, op7_backoff_scores, op8_disclosure, op9_orc_tokens,
                             op10_superminhash)}
 
-ORACLES: dict[str, str] = {}
+WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+
+def _sql_weight(level: str) -> str:
+    cases = "".join(f" WHEN '{value}' THEN {number}" for value, number in WEIGHTS.get(level, {}).items())
+    return f"CASE {level}{cases} ELSE 1 END" if cases else "1"
+
+
+def _sql_settled(depth: int, levels: list[str]) -> str:
+    """Budgets of the nodes at a depth, from those of their parents."""
+    path, level = levels[:depth], levels[depth]
+    same = " AND ".join(["true", *[f"n.{p} IS NOT DISTINCT FROM t.{p}" for p in path]])
+    parts = ", ".join(path) or "1"
+    order = f"PARTITION BY {parts} ORDER BY capacity::DOUBLE / weight, {level} NULLS FIRST"
+    return f"""nodes{depth} AS (SELECT n.*, {_sql_weight(level)} AS weight, t.budget FROM (
+  SELECT {', '.join([*path, level])}, CAST(sum(capacity) AS HUGEINT) AS capacity FROM leaves GROUP BY ALL) n JOIN tree{depth} t ON {same}),
+shares{depth} AS (SELECT *, row_number() OVER ({order}) AS rn,
+  greatest(budget - coalesce(sum(capacity) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) AS room,
+  sum(weight) OVER (PARTITION BY {parts})
+    - coalesce(sum(weight) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest FROM nodes{depth}),
+level{depth} AS (SELECT *, min(CASE WHEN capacity * rest > room * weight THEN rn END) OVER (PARTITION BY {parts}) AS cut FROM shares{depth}),
+tree{depth + 1} AS (SELECT {', '.join([*path, level])}, CASE WHEN cut IS NULL OR rn < cut THEN capacity ELSE least(capacity,
+  max(CASE WHEN rn = cut THEN room END) OVER (PARTITION BY {parts}) * weight
+  // max(CASE WHEN rn = cut THEN rest END) OVER (PARTITION BY {parts})) END AS budget FROM level{depth})"""
+
+
+def _sql_mix(share: tuple[int, int], epochs: int, seed: int) -> str:
+    levels = ["domain", "lang", "source"]
+    steps = ",\n".join(_sql_settled(i, levels) for i in range(3))
+    return f"""WITH docs AS (SELECT doc_id, 'domain' || CAST(TRY_CAST(regexp_extract(source, '([0-9]+)$', 1) AS INTEGER) % 4 AS VARCHAR) AS domain,
+  lang, source, CAST(coalesce(len({WORDS.format('text')}), 0) AS BIGINT) AS n_tokens FROM documents),
+leaves AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS HUGEINT) AS tokens, CAST(sum(n_tokens) * {epochs} AS HUGEINT) AS capacity
+  FROM docs GROUP BY ALL),
+tree0 AS (SELECT least(sum(tokens) * {share[0]} // {share[1]}, sum(capacity)) AS budget FROM leaves),
+{steps},
+plan AS (SELECT l.domain, l.lang, l.source, CASE WHEN tokens > 0 THEN budget // tokens ELSE 0 END AS whole,
+  CASE WHEN tokens > 0 THEN budget % tokens ELSE 0 END AS room FROM leaves l JOIN tree3 t ON l.domain IS NOT DISTINCT FROM t.domain
+  AND l.lang IS NOT DISTINCT FROM t.lang AND l.source IS NOT DISTINCT FROM t.source),
+placed AS (SELECT d.*, whole, room, coalesce(sum(n_tokens) OVER (PARTITION BY d.domain, d.lang, d.source
+  ORDER BY md5('{seed}:' || CAST(whole AS VARCHAR) || ':' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, n_tokens
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM docs d JOIN plan p ON d.domain IS NOT DISTINCT FROM p.domain
+  AND d.lang IS NOT DISTINCT FROM p.lang AND d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, domain, lang, source, n_tokens, CAST(whole + CASE WHEN before + n_tokens <= room THEN 1 ELSE 0 END AS BIGINT) AS copies
+FROM placed"""
+
+
+ORACLES: dict[str, str] = {
+    "op2_digest_tree": """SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = max(doc_id) OVER same AS kept, sha256(plain) AS text_sha256
+FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS plain FROM documents)
+WINDOW same AS (PARTITION BY plain)""",
+    "op4_line_neighbours": f"""WITH cut AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, unnest(range(len(parts))) AS line, {WORDS.format('unnest(parts)')} AS w FROM cut),
+firsts AS (SELECT w, min(doc_id::HUGEINT * 2147483648 + line) AS place FROM lines WHERE len(w) > 0 GROUP BY w),
+able AS (SELECT * FROM firsts WHERE len(w) >= 8),
+variants AS (SELECT place, i, list_concat(w[1:i - 1], w[i + 1:]) AS key FROM (SELECT place, w, unnest(range(1, len(w) + 1)) AS i FROM able)),
+near AS (SELECT place FROM variants JOIN (SELECT key, i, min(place) AS m FROM variants GROUP BY ALL) USING (key, i) WHERE m < place
+  UNION SELECT v.place FROM variants v JOIN able a ON v.key = a.w WHERE a.place < v.place
+  UNION SELECT a.place FROM able a JOIN (SELECT key, min(place) AS m FROM variants GROUP BY key) k ON k.key = a.w WHERE k.m < a.place),
+found AS (SELECT place // 2147483648 AS doc_id, place % 2147483648 AS line, place IN (SELECT place FROM near) AS goes FROM firsts)
+SELECT CAST(doc_id AS BIGINT) AS doc_id, count(*) FILTER (WHERE NOT goes) AS n_kept, count(*) FILTER (WHERE goes) AS n_near,
+  coalesce(string_agg(line, ',' ORDER BY line) FILTER (WHERE NOT goes), '') AS kept,
+  coalesce(string_agg(line, ',' ORDER BY line) FILTER (WHERE goes), '') AS near FROM found GROUP BY doc_id""",
+    "op5_warc_segments": """SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, array_to_string(list_transform(range(0, 32),
+    lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST('0x' || substr(h, 1 + 5 * (i // 4), 5) AS BIGINT)
+    >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN first < page_id THEN first END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages)""",
+    "op6_tree_mix": _sql_mix((4, 5), 2, 7),
+}

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.stopwords import ENGLISH
+from ..functions.text import clean_text, title_and_summary, tokens_unicode
 from ..operators.density import density_clusters, lattice_point
 from ..operators.ordering import with_index
 from ..operators.topic_terms import representative_docs, term_lists, topic_names, topic_terms
-from ..operators.vectors import fit_reduction, reduce_dims
+from ..operators.vectors import fit_reduction, hashed_embedding, reduce_dims
+from ..schemas import CLUSTERED_COLUMNS, keep_columns
 from ..session import written
 
 OUTLIER = -1
@@ -79,6 +83,26 @@ def fit_topics(vectors: DataFrame, key: str, embedding: str = "embedding", compo
     return TopicModel(reduction, points, components, eps, fineness)
 
 
+def clustered_articles(articles: DataFrame, key: str, width: int = 384, stop: Sequence[str] = ENGLISH,
+                       encode: Callable[[DataFrame], DataFrame] | None = None, **fit) -> tuple[DataFrame, TopicModel]:
+    """Articles with ``text_clean`` and ``topic``, as far as they have them the columns ``CLUSTERED_COLUMNS``, and the model.
+
+    This is the table that ``trend_scores`` takes. ``encode`` adds an ``embedding`` column to the articles; hashed words
+    are used without it. ``fit`` goes to ``fit_topics``.
+    """
+    cleaned = articles.withColumn("text_clean", clean_text(title_and_summary(), stop))
+    if encode is None:
+        embedded = cleaned.withColumn("embedding", hashed_embedding(tokens_unicode("text_clean"), width))
+    else:
+        embedded = encode(cleaned)
+    rows = written(embedded)
+    model = fit_topics(rows, key, **fit)
+    assigned = model.assign(rows.select(key, "embedding")).select(F.col(key).alias("_key"), "topic")
+    # vectors stay out of the join with the articles
+    joined = rows.drop("embedding").join(assigned, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    return keep_columns(joined, (key, *CLUSTERED_COLUMNS)), model
+
+
 def topic_info(docs: DataFrame, key: str, topic: str, tokens: str, text: str, n_terms: int = 10,
                n_docs: int = 3) -> DataFrame:
     """One row per topic: (Topic, Count, Name, Representation, Representative_Docs)."""

@@ -12,7 +12,8 @@ from loomwire.operators.components import connected_components
 from loomwire.operators.ordering import with_index
 from loomwire.operators.topic_terms import topic_names
 from loomwire.operators.vectors import encode_with, hashed_embedding, join_vectors
-from loomwire.plans.topics import TopicModel, assign_points, fit_topics, numbered_points, topic_info
+from loomwire.plans.topics import TopicModel, assign_points, clustered_articles, fit_topics, numbered_points, topic_info
+from loomwire.plans.trend import trend_scores
 from loomwire.session import written
 
 SLOW = dict(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -105,6 +106,19 @@ def test_planted_clusters_save_and_load(spark, tmp_path):
     assert {r["id"]: r["topic"] for r in again.collect()} == labels
 
 
+def test_articles_to_trend_scores(spark):
+    themes = (["silk", "dress", "gown", "lace"], ["boot", "heel", "sole", "strap"])
+    rows = [(i, " ".join(themes[i % 2]), " ".join(themes[i % 2][j % 4] for j in range(i % 3 + 8)), f"http://h{i % 3}/{i}",
+             f"2024-01-{1 + i % 20:02d}T00:00:00+00:00") for i in range(40)]
+    df = spark.createDataFrame(rows, "n long, title string, summary string, link string, ingested_at string")
+    out, model = clustered_articles(df, "n", width=64, components=2, eps=0.3)
+    assert set(out.columns) == {"n", "title", "summary", "link", "ingested_at", "text_clean", "topic"}
+    topics = {r["n"]: r["topic"] for r in out.collect()}
+    assert len(topics) == 40 and len(set(topics.values())) == 2 and all(topics[i] == topics[i % 2] for i in topics)
+    scores = {r["topic"]: r for r in trend_scores(out, ("ingested_at", "n")).collect()}
+    assert set(scores) == {str(t) for t in topics.values()}
+
+
 def test_hashed_embedding(spark):
     df = spark.createDataFrame([(1, "a b a"), (2, ""), (3, "b a a")], "id int, t string")
     got = {r["id"]: np.array(r["v"]) for r in df.select("id", hashed_embedding(tokens_unicode("t"), 16).alias("v")).collect()}
