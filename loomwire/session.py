@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +27,25 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written inside go to one folder, which is deleted at the end.
+
+    Store the results inside the block: they are read from these tables.
+    """
+    folder = f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+    token = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the rows to the shared folder and go on from there.
 
@@ -31,6 +53,6 @@ def written(df: DataFrame) -> DataFrame:
     from which Spark chooses its joins.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{_SCRATCH.get() or shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -14,7 +14,7 @@ from loomwire.operators.topic_terms import topic_names
 from loomwire.operators.vectors import encode_with, hashed_embedding, join_vectors
 from loomwire.plans.topics import TopicModel, assign_points, clustered_articles, fit_topics, numbered_points, topic_info
 from loomwire.plans.trend import trend_scores
-from loomwire.session import written
+from loomwire.session import scratch, written
 
 SLOW = dict(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -25,6 +25,15 @@ def test_with_index(spark):
     assert sorted((r["v"], r["index"]) for r in got) == [(i + 1, i) for i in range(1000)]
 
 
+def test_scratch_tables_go_at_the_end(spark):
+    from pathlib import Path
+    with scratch(spark) as folder:
+        first = written(spark.range(5))
+        assert first.count() == 5 and len(list(Path(folder.removeprefix("file:")).iterdir())) == 1
+    assert not Path(folder.removeprefix("file:")).exists()
+    assert written(spark.range(3)).count() == 3
+
+
 @settings(**SLOW)
 @given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 30)), max_size=25))
 def test_components(spark, edges):
