@@ -9,11 +9,13 @@ Documents are grouped first by equal word sequence, so copies cost one signature
 bands; documents with an equal band are candidates. A bucket is worked off in two rounds and without listing all its pairs:
 
 1. every member is compared with the bucket's least document; links found join components,
-2. members outside the bucket's main component are compared with members of other components.
+2. members outside a bucket's main component are compared with some members of that component spread over it,
+3. what is outside the main component still is compared with all members of other components.
 
-After that any two members of a bucket are in one component or have been compared: by their set sizes, by one bit of each
-place, by one byte of each place, where agreement within 6 standard deviations of the similarity asked for passes, and
-at last by the full shingle sets, which decide.
+After that any two members of a bucket are in one component or have been compared: by their set sizes, by sketches of one
+bit per place, where agreement within 5 or 6 standard deviations of the similarity asked for passes, and at last by the
+full shingle sets, which decide. Most copies join in the first rounds, so the third has few rows to work with; its
+pairs are tested on fine sketches inside the join, before a row is made.
 
 Defined results: a document without words has an empty set and is alone; one with fewer than n words has its word sequence as
 only shingle; rows with the same id are one node and give a row each; rows with a null id are alone, component null, kept.
@@ -43,11 +45,14 @@ class Near:
     places: int = 256
     rows: int = 5  # places per band; a pair at 75 percent misses all 51 bands once in a million
 
-    def least_agreeing(self, bits: int) -> int:
-        """Places of two sketches with so many bits each that agree at the similarity asked for, less 6 deviations."""
+    fine: int = 2048  # places of the fine sketch, which only documents of open buckets get
+    spread: int = 16  # members of a component that stand for it in the second round
+
+    def least_agreeing(self, bits: int, places: int, deviations: float) -> int:
+        """Places of two sketches with so many bits each that agree at the similarity asked for, less some deviations."""
         p = self.percent / 100
         p += (1 - p) / 2 ** bits
-        return int(self.places * p - 6 * (self.places * p * (1 - p)) ** 0.5)
+        return int(places * p - deviations * (places * p * (1 - p)) ** 0.5)
 
 
 def step_salt(j: int) -> np.uint64:
@@ -106,7 +111,7 @@ def bands(signature: np.ndarray, rows: int) -> np.ndarray:
     return mixed(key)
 
 
-SIGNED = "id long, same binary, n_shingles long, bands array<long>, sketch binary, bits array<long>"
+SIGNED = "id long, same binary, n_shingles long, bands array<long>, sketch binary"
 
 
 def _sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -126,16 +131,13 @@ def _signed(docs: DataFrame, near: Near) -> DataFrame:
                 elements = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
                 found = signatures(elements, np.concatenate(([0], np.cumsum(size))), near.places)
                 keys = bands(found, near.rows).view(np.int64)
-                salted = mixed(found)
-                sketch = np.ascontiguousarray((salted & np.uint64(0xFF)).astype(np.uint8))
-                bits = np.packbits((salted >> np.uint64(8)) & np.uint64(1) == 1, axis=1)
-                bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.int64)
+                sketch = np.ascontiguousarray((mixed(found) & np.uint64(0xFF)).astype(np.uint8))
                 offsets = np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(size),
                      pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())),
-                     pa.array([row.tobytes() for row in sketch], pa.binary()), pa.array(list(bits))],
-                    ["id", "same", "n_shingles", "bands", "sketch", "bits"])
+                     pa.array([row.tobytes() for row in sketch], pa.binary())],
+                    ["id", "same", "n_shingles", "bands", "sketch"])
 
     return docs.mapInArrow(sign, SIGNED)
 
@@ -148,7 +150,7 @@ def _agreeing(pairs: DataFrame, signed: DataFrame, near: Near) -> DataFrame:
                            for i in (2, 3))
             same = (left == right).sum(axis=1)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(
-                pa.array(same >= near.least_agreeing(8)))
+                pa.array(same >= near.least_agreeing(8, near.places, 6)))
 
     ends = signed.select("id", "n_shingles", "sketch")
     joined = pairs.join(ends.toDF("a", "na", "sa"), "a").join(ends.toDF("b", "nb", "sb"), "b")
@@ -204,6 +206,45 @@ def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return connected_components(nodes.select(F.col("id").alias("node")), _merge_local(edges)).toDF("id", "component")
 
 
+def _fine(texts: DataFrame, near: Near) -> DataFrame:
+    """id, n and one bit of each of many places of every text (id, plain), 64 to a column."""
+    width = near.fine // 64
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
+                sets = _sets(part.column(1), near.words)
+                size = np.fromiter(map(len, sets), np.int64, len(sets))
+                found = mixed(signatures(np.concatenate(sets), np.concatenate(([0], np.cumsum(size))), width * 64))
+                bits = np.packbits(found & np.uint64(1) == 1, axis=1).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), *map(pa.array, bits.T.copy())],
+                                                 ["id", "n", *[f"b{i}" for i in range(width)]])
+
+    return texts.mapInArrow(sign, "id long, n long, " + ", ".join(f"b{i} long" for i in range(width)))
+
+
+def _open(shared: DataFrame, components: DataFrame) -> DataFrame:
+    """band, id, component and main, the largest component, of the buckets with more than one component."""
+    labelled = shared.select("band", "id").join(components, "id")
+    sizes = labelled.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
+                                     F.count(F.lit(1)).alias("c")).where("c > 1").select("band", "main")
+    return written(labelled.join(main, "band"))
+
+
+def _joined(nodes: DataFrame, components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links (a, b)."""
+    if links.isEmpty():
+        return components
+    known = components.where("id <> component").select(F.col("id").alias("u"), F.col("component").alias("v"))
+    return written(_components(nodes, links.toDF("u", "v").unionByName(known)))
+
+
+def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
+    return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).where("a < b").distinct()
+
+
 def _linked(pairs: DataFrame, signed: DataFrame, texts: DataFrame, near: Near) -> DataFrame:
     return written(_verified(written(_agreeing(pairs, signed, near)), texts, near))
 
@@ -224,36 +265,33 @@ def near_duplicates(docs: DataFrame, near: Near = Near(), key: str = "doc_id", t
     shared = written(banded.join(buckets.where("leader < last").select("band", "leader"), "band"))
     members = shared.select("id").distinct()
     texts = written(rows.join(members, "id", "left_semi"))
-    known = usable.select("id", "n_shingles", "sketch", "bits").join(members, "id", "left_semi")
+    known = usable.select("id", "n_shingles", "sketch").join(members, "id", "left_semi")
 
     stars = shared.where("id > leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    first = _components(nodes, _linked(stars, known, texts, near).toDF("u", "v"))
-    first = written(first)
-
-    # buckets whose members are not in one component yet
-    labelled = shared.select("band", "id").join(first, "id")
-    sizes = labelled.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"),
-                                     F.count(F.lit(1)).alias("c")).where("c > 1").select("band", "main")
-    facts = known.select("id", F.col("n_shingles").alias("n"), *[
-        F.col("bits")[i].alias(f"b{i}") for i in range(-(-near.places // 64))])
-    open_rows = written(labelled.join(main, "band").join(facts, "id"))
+    first = written(_components(nodes, _linked(stars, known, texts, near).toDF("u", "v")))
+
+    # some members of each component, spread over it by a hash, for all outside it that share a bucket with it
+    around = _open(shared, first).where("component <> main").select("id", "main").distinct()
+    standing = first.groupBy(F.col("component").alias("main"), F.pmod(F.xxhash64("id"), F.lit(near.spread)).alias("salt")).agg(
+        F.min("id").alias("other"))
+    some = _ordered(around.join(standing, "main"), "id", "other").join(stars, ["a", "b"], "left_anti")
+    some = written(some)
+    second = _joined(nodes, first, _linked(some, known, texts, near))
+
+    # all others, tested by set sizes and fine sketches before a pair is made
+    open_rows = _open(shared, second)
+    facts = written(_fine(texts.join(open_rows.select("id").distinct(), "id", "left_semi"), near))
     theirs = [c for c in facts.columns if c != "id"]
-    other = open_rows.where("component <> main").select(
+    placed = open_rows.join(facts, "id")
+    other = placed.where("component <> main").select(
         "band", F.col("id").alias("x"), F.col("component").alias("cx"), *[F.col(c).alias(f"x_{c}") for c in theirs])
     differing = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"x_{c}"))) for c in theirs[1:])
-    # one bit of each place and the set sizes, tested before a pair is made
-    across = other.join(open_rows, "band").where(
+    across = other.join(placed, "band").where(
         (F.col("cx") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("x") < F.col("id")))
-        & (differing <= near.places - near.least_agreeing(1))
+        & (differing <= near.fine - near.least_agreeing(1, near.fine, 5))
         & (F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * near.percent))
-    pairs = across.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
-    # stars have been compared
-    pairs = pairs.join(stars, ["a", "b"], "left_anti")
-    second = _linked(pairs, known, texts, near).toDF("u", "v")
-    edges = second.unionByName(first.where("id <> component").select(F.col("id").alias("u"),
-                                                                     F.col("component").alias("v")))
-    last = _components(nodes, edges)
+    rest = _ordered(across, "x", "id").join(stars.unionByName(some), ["a", "b"], "left_anti")
+    last = _joined(nodes, second, _linked(rest, known, texts, near))
 
     of_class = classes.join(last, F.col("class") == F.col("id")).select("same", "component")
     placed = signed.select(F.col("id").alias("doc_id"), "same", "n_shingles").join(of_class, "same", "left")
