@@ -129,21 +129,22 @@ def _near(lines: DataFrame, distinct: DataFrame, least_words: int) -> DataFrame:
     """place of every different line which has an earlier copy by one word."""
     candidates = _candidates(lines, distinct, least_words)
     variants = _variants(candidates)
-    keys = variants.groupBy("key", "i").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("c"))
-    whole = F.min(F.when(F.col("i") < 0, F.col("first"))).alias("whole")
-    part = F.min(F.when(F.col("i") >= 0, F.col("first"))).alias("part")
-    # keys of one line only are no match; a key has an entry per place in the line at most
-    shared = keys.groupBy("key").agg(whole, part, F.sum("c").alias("c"), F.collect_list(
-        F.struct("i", "first")).alias("at")).where("c > 1").select("key", "whole", "part", F.inline("at"))
+    # most keys belong to one line: a count by key leaves few variants to work with
+    busy = variants.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
+    variants_of = written(variants.join(busy, "key", "left_semi"))
+    same_place = variants_of.groupBy("key", "i").agg(F.min("id").alias("first"))
+    whole = F.min(F.when(F.col("i") < 0, F.col("id"))).alias("whole")
+    part = F.min(F.when(F.col("i") >= 0, F.col("id"))).alias("part")
+    any_place = variants_of.groupBy("key").agg(whole, part)
     target = F.when(F.col("i") < 0, F.col("part")).otherwise(F.least("first", "whole"))
-    shared = written(shared.select("key", "i", target.alias("first")).where("first IS NOT NULL"))
-    matches = written(variants.join(shared, ["key", "i"]).where("first < id").select("key", "id", "first"))
+    shared = same_place.join(any_place, "key").select("key", "i", target.alias("first")).where("first IS NOT NULL")
+    matches = written(variants_of.join(shared, ["key", "i"]).where("first < id").select("key", "id", "first"))
     tested = written(_verified(matches.select("id", "first").distinct(), candidates))
     good = tested.where("ok").select("id")
     doubtful = tested.where("NOT ok").select("id", "first").join(good, "id", "left_anti")
     if not doubtful.isEmpty():
         bad = matches.join(doubtful, ["id", "first"]).select("key", "id").distinct()
-        others = variants.select("key", F.col("id").alias("first")).join(bad.select("key").distinct(), "key", "left_semi")
+        others = variants_of.select("key", F.col("id").alias("first")).join(bad.select("key").distinct(), "key", "left_semi")
         pairs = bad.join(others.distinct(), "key").where("first < id").select("id", "first").distinct()
         good = good.unionByName(_verified(pairs, candidates).where("ok").select("id"))
     return candidates.select("id", "place").join(good.distinct(), "id", "left_semi").select("place")
