@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .tokens import crc32, encoder
+from .tokens import by_bytes, crc32, encoder
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
@@ -103,8 +103,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, costs: Costs = Costs(
         size = 0
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in by_bytes(batch, 1):
                 ids, bounds, sentences = encode(pc.fill_null(part.column(1), ""))
                 held.append((part.column(0).to_pylist(), ids, bounds, sentences))
                 size += len(ids)

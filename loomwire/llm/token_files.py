@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from .tokens import crc32, encoder
+from .tokens import by_bytes, crc32, encoder
 
 FILE = "doc_id long, part long, part_start long, n_tokens long, ids array<int>"
 
@@ -34,8 +34,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         encode = encoder(tokenizer, end_id).encode
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            for some in by_bytes(batch, 1):
                 ids, bounds, _ = encode(pc.fill_null(some.column(1), ""))
                 lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
@@ -51,15 +50,19 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
      .option("orc.create.index", "true").option("compression", "zstd").orc(path))
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids: start counts the ids of all documents before."""
-    files = spark.read.schema(FILE).orc(path)
+def _placed(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """rows of the files with start, their place among the ids of all documents."""
     # a row per file; its reading touches two columns
     ends = files.groupBy("part").agg(F.max(F.col("part_start") + F.col("n_tokens")).alias("size"))
     before = ends.select("part", F.coalesce(F.sum("size").over(
         W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    return files.join(before, "part").select(
-        "doc_id", (F.col("before") + F.col("part_start")).alias("start"), "n_tokens", "ids")
+    return rows.join(before, "part").withColumn("start", F.col("before") + F.col("part_start"))
+
+
+def read_token_files(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids: start counts the ids of all documents before."""
+    files = spark.read.schema(FILE).orc(path)
+    return _placed(files, files).select("doc_id", "start", "n_tokens", "ids")
 
 
 def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
@@ -67,17 +70,19 @@ def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
     return spark.read.schema(FILE).orc(path).where(F.col("doc_id").isin(doc_ids)).select("doc_id", "ids")
 
 
-def checked(tokens: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens (counted in the ids) and ids_crc32 of tokens read from files."""
+def checked_token_files(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id, start, n_tokens (counted in the ids) and ids_crc32 of every document. The ids are not shuffled."""
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(2)
+            lists = batch.column(3)
             offsets = np.asarray(lists.offsets)
             flat = np.asarray(lists.values).astype("<u4")
             crc = [crc32(flat[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.diff(offsets), pa.int64()), pa.array(crc, pa.int64())],
-                ["doc_id", "start", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(np.diff(offsets), pa.int64()),
+                                              pa.array(crc, pa.int64())],
+                                             ["doc_id", "part", "part_start", "n_tokens", "ids_crc32"])
 
-    return tokens.select("doc_id", "start", "ids").mapInArrow(
-        sums, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    files = spark.read.schema(FILE).orc(path)
+    rows = files.select("doc_id", "part", "part_start", "ids").mapInArrow(
+        sums, "doc_id long, part long, part_start long, n_tokens long, ids_crc32 long")
+    return _placed(files, rows).select("doc_id", "start", "n_tokens", "ids_crc32")

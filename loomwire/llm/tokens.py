@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        if resize := getattr(self._tokenizer.model, "_resize_cache", None):
+            resize(0)  # each word is asked for once
         size = self._tokenizer.get_vocab_size()
         names = (self._tokenizer.id_to_token(i) or "" for i in range(size))
         self._last = np.fromiter((n.endswith("</w>") for n in names), bool, size)
@@ -124,3 +127,14 @@ class Encoder:
 def crc32(ids: np.ndarray) -> int:
     """Unsigned CRC-32 of ids as little-endian unsigned 32-bit integers."""
     return zlib.crc32(np.ascontiguousarray(ids, dtype="<u4"))
+
+
+def by_bytes(batch: pa.RecordBatch, column: int, most: int = 5 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose strings in a column have about ``most`` bytes, or a single row."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
+    total, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        before = total[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(total, before + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end
