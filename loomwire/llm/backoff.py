@@ -4,7 +4,7 @@ Relations: exploded n-grams (block of documents, n-gram, count), count tables pa
 hash, their join, and a sum per document. An n-gram appears once per block of documents and not once per
 document, counted beforehand, and the rows of a block and slice travel as one row of packed columns. So no n-gram,
 however frequent, has more rows than there are blocks, and the shuffle stays below six bytes per different n-gram of a
-block.
+block. A block is told of each n-gram how often other blocks have it, which is mostly never.
 
 Every count is reduced by the document's own occurrences: a text is scored by the rest of the corpus. The score of a
 word is n(context, word) / n(context) for the longest order seen elsewhere, times ``discount`` for each step down; an
@@ -16,6 +16,7 @@ id are documents of their own; an empty table gives no rows. N-grams are told ap
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -68,17 +69,22 @@ def slice_bounds(keys: np.ndarray, slices: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, np.array(edge, np.uint64)), [len(keys)])).astype(np.int64)
 
 
-def scores(block: Block, keys: np.ndarray, counts: np.ndarray, total: int, discount: float) -> np.ndarray:
-    """Mean log score of each text of the block; keys and counts: its n-grams in the whole corpus."""
+def scores(block: Block, elsewhere: np.ndarray, total: int, discount: float) -> np.ndarray:
+    """Mean log score of each text of the block; elsewhere: occurrences of its sorted n-grams in other blocks."""
     n_texts = len(block.bounds) - 1
     sizes = np.diff(block.bounds)
     rest = total - sizes[block.owner]  # words of the other texts
+    everything = np.concatenate(block.keys)
+    table, at = np.unique(everything, return_inverse=True)
+    counts = np.bincount(at, minlength=len(table))
+    if len(table) and table[0] == 0:  # no n-gram: occurs nowhere
+        elsewhere = np.concatenate(([0], elsewhere))
+        counts[0] = 0
     found = []
-    for key in block.keys:
-        at = np.where(key != 0, np.searchsorted(keys, key), len(keys))  # the last entry: no n-gram
-        # the text's own occurrences of the n-gram
-        _, group, own = np.unique(block.owner * (len(keys) + 1) + at, return_inverse=True, return_counts=True)
-        found.append(np.maximum(np.append(counts, 0)[at] - own[group], 0))
+    for numbers in np.split(at, len(block.keys)):
+        # without the text's own occurrences of the n-gram
+        _, group, own = np.unique(block.owner * len(table) + numbers, return_inverse=True, return_counts=True)
+        found.append(np.maximum(elsewhere[numbers] + counts[numbers] - own[group], 0))
     log = np.zeros(len(block.owner))
     open_words = np.ones(len(log), bool)
     for n in range(len(block.keys), 0, -1):
@@ -102,13 +108,25 @@ TOLD = "block long, slice int, counts binary"
 
 
 def packed(numbers: np.ndarray) -> bytes:
-    """64-bit numbers byte by byte: all lowest bytes, then the next, so that the shuffle's compression drops the
-    bytes which are 0 in all of them."""
-    return np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    """64-bit numbers byte by byte, all lowest bytes, then the next, and compressed: high bytes are 0 in most rows."""
+    import zstandard
+
+    planes = np.ascontiguousarray(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpacked(raw: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
+
+
+def texts_of(blobs: pa.ChunkedArray) -> pa.Array:
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([unpack(b.as_py()).decode() for b in blobs], pa.string())
 
 
 def packed_keys(keys: np.ndarray) -> bytes:
@@ -132,10 +150,19 @@ def backoff_scores(docs: DataFrame, model: Model = Model(), key: str = "doc_id",
     plain = ascii_lower(F.coalesce(F.col(text).cast("string"), F.lit("")))
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), plain.alias("plain"))
     rows = rows.select(F.pmod(F.xxhash64("doc_id", "plain"), F.lit(n_blocks)).alias("block"), "*")
-    by_block = rows.groupBy("block")
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            blobs = pa.array([pack(t.as_py().encode()) for t in batch.column(2)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), blobs], ["block", "doc_id", "blob"])
+
+    by_block = rows.mapInArrow(shrink, "block long, doc_id long, blob binary").groupBy("block")
 
     def ask(group: pa.Table) -> pa.Table:
-        grams, counts = distinct_grams(block_of(group.column("plain").combine_chunks(), model.order))
+        grams, counts = distinct_grams(block_of(texts_of(group.column("blob")), model.order))
         at = slice_bounds(grams, slices).tolist()
         some = [i for i in range(slices) if at[i] < at[i + 1]]
         number = group.column("block")[0].as_py()
@@ -152,14 +179,13 @@ def backoff_scores(docs: DataFrame, model: Model = Model(), key: str = "doc_id",
         ends = np.cumsum([len(k) for k in keys])
         return pa.Table.from_arrays(
             [group.column("block"), group.column("slice"),
-             pa.array([packed(x) for x in np.split(sums, ends[:-1])], pa.binary())], ["block", "slice", "counts"])
+             pa.array([packed(x) for x in np.split(sums - counts, ends[:-1])], pa.binary())], ["block", "slice", "counts"])
 
     def score(texts: pa.Table, told: pa.Table) -> pa.Table:
-        block = block_of(texts.column("plain").combine_chunks(), model.order)
-        grams, _ = distinct_grams(block)
+        block = block_of(texts_of(texts.column("blob")), model.order)
         parts = sorted(zip(told.column("slice").to_pylist(), told.column("counts")), key=lambda p: p[0])
-        counts = np.concatenate([unpacked(p.as_py()) for _, p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
-        found = scores(block, grams, counts, total, model.discount)
+        elsewhere = np.concatenate([unpacked(p.as_py()) for _, p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
+        found = scores(block, elsewhere, total, model.discount)
         size = np.diff(block.bounds)
         return pa.Table.from_arrays([texts.column("doc_id").combine_chunks(), pa.array(size, pa.int64()),
                                      pa.array(found, pa.float64(), mask=size == 0)], ["doc_id", "n_words", "score"])
