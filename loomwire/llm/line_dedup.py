@@ -55,7 +55,8 @@ def _distinct_lines(lines: DataFrame) -> DataFrame:
     """The first place of each different line with a word, its number of words and the hashes of its ends."""
     found = lines.select("doc_id", "line", line_words(F.col("content")).alias("w")).where(F.size("w") > 0)
     size = F.size("w")
-    mid, long = (size > 2 * SHORT) & (size <= LONG_FROM + 1), size >= LONG_FROM
+    # a line of 2 * SHORT - 1 words shares no end with all its copies, but with those that have a word more
+    mid, long = (size >= 2 * SHORT - 1) & (size <= LONG_FROM + 1), size >= LONG_FROM
 
     def end(when: Column, start: int, n: int) -> Column:
         return F.when(when, F.xxhash64(F.slice("w", start, n)))
@@ -75,7 +76,7 @@ def _neighbours(distinct: DataFrame, least_words: int) -> DataFrame:
         "hash IS NOT NULL")
     shared = ends.groupBy("hash", "side").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("hash", "side")
     return (ends.join(shared, ["hash", "side"], "left_semi").select("place")
-            .unionByName(able.where(F.col("n") <= 2 * SHORT).select("place")).distinct())
+            .unionByName(able.where(F.col("n") < 2 * SHORT).select("place")).distinct())
 
 
 def _pair(a: Column, b: Column) -> Column:

@@ -1,8 +1,9 @@
 import pytest
 from cases import SF, WORD, awkward, documents, frame, rows_of
+from compare import connect, difference
 from hypothesis import given, settings, strategies as st
 from loomwire.llm import line_dedup
-from loomwire.llm.queries import op4_line_neighbours
+from loomwire.llm.queries import ORACLES, op4_line_neighbours
 
 
 def within_one(a, b):
@@ -49,6 +50,11 @@ def test_all_documents(spark):
     assert all(r["n_kept"] == len(found[r["doc_id"]][0]) and r["n_near"] == len(found[r["doc_id"]][1]) for r in rows)
 
 
+def test_same_rows_as_sql_on_a_larger_table(spark):
+    sf = "/root/testdata/sf0.1"
+    assert difference(op4_line_neighbours(spark, sf), connect(sf), ORACLES["op4_line_neighbours"]) is None
+
+
 def test_no_python_on_the_path(spark):
     plan = op4_line_neighbours(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
@@ -91,6 +97,21 @@ def test_one_word_anywhere(spark, n):
     assert told(line_dedup.line_verdicts(frame(spark, cases))) == plain(cases)
 
 
+@pytest.mark.parametrize("least_words", [3, 7, 8])
+def test_isolated_pairs(spark, least_words):
+    """One line and one copy of it, on their own, at each length where the ends change, either one first."""
+    cases = []
+    for n in range(6, 31):
+        for at in (0, n // 2, n - 1):
+            for first in (0, 1):
+                line = [f"n{n}a{at}f{first}w{i}" for i in range(n)]
+                pair = [line, line[:at] + line[at + 1:]]
+                cases += [(len(cases), " ".join(pair[first])), (len(cases) + 1, " ".join(pair[1 - first]))]
+                swapped = [x + "r" for x in line]
+                cases += [(len(cases), " ".join(swapped)), (len(cases) + 1, " ".join(swapped[:at] + ["x"] + swapped[at + 1:]))]
+    assert told(line_dedup.line_verdicts(frame(spark, cases), least_words)) == plain(cases, least_words)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from("ab"), max_size=6), st.lists(st.sampled_from("ab"), max_size=6))
 def test_within_one_is_edit_distance(a, b):
