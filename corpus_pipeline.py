@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from loomwire.llm import compression, line_dedup, mixing, packing, superminhash
 from loomwire.llm.queries import WEIGHTS, mix_levels, tokenizer
-from loomwire.session import shared_folder
+from loomwire.session import shared_folder, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,15 +28,26 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, and all documents without an id, each of which is alone."""
     kept = superminhash.near_duplicates(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+
+
+def _in_files(docs: DataFrame) -> DataFrame:
+    """docs as a table whose rows have a place in a file."""
+    try:
+        docs.select("_metadata.row_index").schema
+        return docs
+    except AnalysisException:
+        return written(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of each source up to its budget."""
-    taken = mixing.mix(docs, mix_levels(), WEIGHTS, share=(4, 5), epochs=1, seed=7).where("copies > 0")
-    return docs.join(taken.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    """Documents of each source up to its budget; rows go by their place in the stage's input, as ids may be null or repeated."""
+    rows = _in_files(docs)
+    at = {"_file": F.col("_metadata.file_path"), "_at": F.col("_metadata.row_index")}
+    taken = mixing.mix(rows, mix_levels(), WEIGHTS, share=(4, 5), epochs=1, seed=7, carry=at).where("copies > 0")
+    return rows.withColumns(at).join(taken.select(*at), list(at), "left_semi").select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -77,17 +77,17 @@ def leaf_budgets(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str,
 
 def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Mapping[str, int]],
         share: tuple[int, int] = (1, 2), epochs: int = 1, seed: int = 0, key: str = "doc_id", text: str = "text",
-        tokens: Column | None = None) -> DataFrame:
+        tokens: Column | None = None, carry: Mapping[str, Column] | None = None) -> DataFrame:
     """doc_id, the levels, n_tokens and how often each document is taken (copies), all documents.
 
     levels: name to column, from the root. share: the budget as a fraction of all tokens. tokens: a count per
-    document, words if absent.
+    document, words if absent. carry: further columns of the result, such as an address of the row.
     """
-    names = list(levels)
+    names, carry = list(levels), carry or {}
     count = F.coalesce(F.size(words(F.col(text))), F.lit(0)) if tokens is None else tokens
     rows = written(docs.select(
         F.col(key).cast("long").alias("doc_id"), *[c.alias(n) for n, c in levels.items()],
-        F.greatest(count, F.lit(0)).cast("long").alias("n_tokens")))
+        F.greatest(count, F.lit(0)).cast("long").alias("n_tokens"), *[c.alias(n) for n, c in carry.items()]))
     leaf = _key(names).alias("_leaf")
     leaves = rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"))
     budgets = leaf_budgets(leaves, names, weights, share, epochs)
@@ -100,7 +100,7 @@ def mix(docs: DataFrame, levels: Mapping[str, Column], weights: Mapping[str, Map
     placed = rows.select("*", leaf).join(plan, "_leaf").withColumn("_order", order)
     fits = F.col("_before") + F.col("n_tokens") <= F.col("_room")
     return _placed(placed).select("doc_id", *names, "n_tokens",
-                                  (F.col("_whole") + fits.cast("long")).alias("copies"))
+                                  (F.col("_whole") + fits.cast("long")).alias("copies"), *carry)
 
 
 def _placed(rows: DataFrame) -> DataFrame:

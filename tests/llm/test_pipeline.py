@@ -2,7 +2,7 @@
 
 import pyarrow.parquet as pq
 import corpus_pipeline
-from cases import SF, WORD, awkward, frame, rows_of
+from cases import SF, WORD, awkward, frame, multiset, rows_of
 from loomwire.llm.queries import WEIGHTS, tokenizer
 import test_lines
 import test_mixing
@@ -57,5 +57,18 @@ def test_awkward_documents(spark):
         assert stage(spark, frame(spark, []), "").count() == 0
 
 
+def test_rows_without_an_id_or_with_the_same(spark):
+    cases = [(None, f"n{i} " * (5 + i)) for i in range(12)] + [(3, f"t{i} " * (4 + i)) for i in range(12)]
+    docs = frame(spark, cases)
+    near = rows_of(corpus_pipeline.near_dedup(spark, docs, ""))
+    assert sorted(r["text"] for r in near if r["doc_id"] is None) == sorted(t for d, t in cases if d is None)
+    mixed = rows_of(corpus_pipeline.mix_sources(spark, docs, ""))
+    rows = [(r["doc_id"], (test_mixing.domain(r["source"]), r["lang"], r["source"]), len(WORD.findall(r["text"])))
+            for r in rows_of(docs)]
+    taken = [(r[0], r[-2]) for r in test_mixing.plain(rows, WEIGHTS, ["domain", "lang", "source"], (4, 5), 1, 7) if r[-1]]
+    assert multiset((r["doc_id"], len(WORD.findall(r["text"]))) for r in mixed) == multiset(taken)
+    assert any(d is None for d, _ in taken) and len(taken) < len(cases)
+
+
 def test_stage_names():
     assert 4 <= len(corpus_pipeline.STAGES) <= 5 and all(callable(f) for _, f in corpus_pipeline.STAGES)
