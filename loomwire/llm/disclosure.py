@@ -5,12 +5,15 @@ an entity reveals it as far as the two occur together: with document counts n of
 
     PMI(entity, term) = ln(N * n_both / (n_entity * n_term)),  IC(entity) = ln(N / n_entity).
 
-A term with PMI >= ``threshold`` * IC discloses the entity and is sanitised where it stands near it: removed when it tells
-the entity for sure (PMI >= IC: it occurs nowhere else), else generalised to its kind. Evidence is needed:
-``least_together`` documents must hold both. n_term counts all documents of the corpus.
+A term with PMI >= ``threshold`` * IC discloses the entity and is sanitised wherever it stands in a document that holds the
+entity: removed when it tells the entity for sure (PMI >= IC: it occurs nowhere else), else generalised to its kind.
+Evidence is needed: the odds that so many of the entity's documents hold the term by chance, by Chernoff's bound, must be
+``chance`` at most. A term of one document discloses an entity of that document alone where the corpus has 1 / chance
+documents, so small corpora need entities of more documents. All counts are of documents of the corpus, over whole texts.
 
-Texts are never shuffled: the first pass yields spans, and terms around them; counts are joined by
-(entity, term), where pairs are counted before they meet.
+Texts are never shuffled: the first pass yields spans, and the terms of documents that hold an entity. Pairs are made only
+of terms rare enough to disclose the entity if all its documents held them. Entities of the same documents have the same
+scores, so one stands for all of them.
 
 Defined results: null text counts as empty; ids need not be unique or not null, each row is a document of its own for counting and in
 the result; an empty table gives no rows.
@@ -20,13 +23,14 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import written
 from .words import codes, split_words
@@ -92,6 +96,17 @@ def _entity(kind: str, value: str) -> bytes:
     return hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=16).digest()
 
 
+def outside(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """term, start, end of all words outside all spans."""
+    taken = sorted((a, b) for _, a, b in spans)
+    starts = [a for a, _ in taken]
+    reached = np.maximum.accumulate([b for _, b in taken]).tolist()
+    for m in _WORD.finditer(text):
+        i = bisect.bisect_left(starts, m.end()) - 1
+        if i < 0 or reached[i] <= m.start():
+            yield m[0].lower(), *m.span()
+
+
 def context(text: str, spans: list[tuple[str, int, int]], reach: int) -> Iterator[tuple[bytes, str, int, int]]:
     """entity, term, start, end of the words within ``reach`` characters of a span, whole words outside all spans."""
     if not spans:
@@ -113,26 +128,46 @@ def context(text: str, spans: list[tuple[str, int, int]], reach: int) -> Iterato
 
 
 SPANS = "doc_id long, row long, base array<struct<kind:string,start:int,end:int>>"
-TERMS = "array<struct<entity:binary,term:string,start:int,end:int>>"
+PARTS = ("array<struct<entities:array<binary>,terms:array<struct<term:string,"
+         "at:array<struct<start:int,end:int>>>>>>")
 
 
-def _marked(docs: DataFrame, reach: int) -> DataFrame:
-    """doc_id, row, base spans and the terms around them, of every document."""
-    span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
-    near = pa.struct([("entity", pa.binary()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+def _parts(text: str, spans: list[tuple[str, int, int]], reach: int | None) -> list[dict]:
+    """Entities, and the terms that stand with each of them: one part for all, or one per entity when there is a reach."""
+    if not spans:
+        return []
+    found: dict[bytes, dict[str, dict[tuple[int, int], None]]] = {}
+    if reach is None:
+        all_of: dict[str, dict[tuple[int, int], None]] = {}
+        for term, s, e in outside(text, spans):
+            all_of.setdefault(term, {})[s, e] = None
+        parts = [(sorted({_entity(kind, text[a:b]) for kind, a, b in spans}), all_of)]
+    else:
+        for entity, term, s, e in context(text, spans, reach):
+            found.setdefault(entity, {}).setdefault(term, {})[s, e] = None
+        parts = [([entity], terms) for entity, terms in found.items()]
+    return [{"entities": entities, "terms": [{"term": t, "at": [{"start": s, "end": e} for s, e in at]}
+                                             for t, at in terms.items()]} for entities, terms in parts]
+
+
+def _marked(docs: DataFrame, reach: int | None) -> DataFrame:
+    """doc_id, row, base spans and the terms with their entities, of every document."""
+    place = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+    span = pa.struct([("kind", pa.string()), *place])
+    term = pa.struct([("term", pa.string()), ("at", pa.list_(place))])
+    part = pa.struct([("entities", pa.list_(pa.binary())), ("terms", pa.list_(term))])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            base, terms = [], []
+            base, parts = [], []
             for text in batch.column(2).to_pylist():
                 spans = base_spans(text or "")
                 base.append([dict(zip(("kind", "start", "end"), s)) for s in spans])
-                terms.append([dict(zip(("entity", "term", "start", "end"), t))
-                              for t in dict.fromkeys(context(text or "", spans, reach))])
+                parts.append(_parts(text or "", spans, reach))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(base, pa.list_(span)),
-                                              pa.array(terms, pa.list_(near))], ["doc_id", "row", "base", "terms"])
+                                              pa.array(parts, pa.list_(part))], ["doc_id", "row", "base", "parts"])
 
-    return docs.mapInArrow(mark, f"{SPANS}, terms {TERMS}")
+    return docs.mapInArrow(mark, f"{SPANS}, parts {PARTS}")
 
 
 def _term_documents(docs: DataFrame) -> DataFrame:
@@ -151,29 +186,48 @@ def _term_documents(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(count, "term string, n long")
 
 
-def find(docs: DataFrame, threshold: float = 0.8, least_together: int = 3, reach: int = 80, key: str = "doc_id",
-         text: str = "text") -> DataFrame:
-    """doc_id, base (spans of the patterns), disclosing (spans of terms, with the action) of every document."""
+def find(docs: DataFrame, threshold: float = 0.8, least_together: int = 1, reach: int | None = None, key: str = "doc_id",
+         text: str = "text", chance: float = 0.001) -> DataFrame:
+    """doc_id, base (spans of the patterns), disclosing (spans of terms, with the action) of every document.
+
+    reach: if given, only words within so many characters of an entity stand with it.
+    """
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
                        F.col(text).cast("string").alias("text"))
     marked = written(_marked(rows, reach))
-    near = marked.select("row", F.inline("terms"))
-    pairs = near.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(
-        F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= least_together)
-    entities = marked.select("row", F.explode("terms.entity").alias("entity")).distinct().groupBy("entity").agg(
-        F.count(F.lit(1)).alias("n_entity"))
-    total = marked.agg(F.count(F.lit(1)).alias("n_all"))
-    candidates = written(pairs.join(entities, "entity"))
-    known = (_term_documents(rows).join(candidates.select("term").distinct(), "term", "left_semi")
+    n_all = max(marked.count(), 1)
+    parts = marked.select("row", F.posexplode("parts").alias("part", "p")).select("row", "part", "p.entities", "p.terms")
+    holds = parts.select("row", "part", F.explode("entities").alias("entity"))
+    one = "row" if reach is None else "entity"
+    entities = holds.select("row", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"), *[
+        (F.bit_xor if reach is None else F.max)(F.xxhash64(F.lit(i), one)).alias(f"like{i}") for i in (0, 1)])
+    held = written(holds.join(entities, "entity").select("row", "part", "like0", "like1", "n_entity").distinct())
+
+    def most(n_entity: Column) -> Column:
+        """Documents a term may have that discloses an entity of so many documents, all of which hold it."""
+        return F.lit(float(n_all)) * F.pow(n_entity / n_all, F.lit(threshold)) * (1 + 1e-9)
+
+    said = parts.select("row", "part", F.explode("terms.term").alias("term"))
+    known = (_term_documents(rows).join(said.select("term").distinct(), "term", "left_semi")
              .groupBy("term").agg(F.sum("n").alias("n_term")))
-    n_all = total.first()[0]
-    scored = candidates.join(known, "term").select(
-        "entity", "term", (F.log(n_all * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))).alias("pmi"),
-        F.log(n_all / F.col("n_entity")).alias("ic"))
-    telling = scored.where((F.col("ic") > 0) & (F.col("pmi") >= threshold * F.col("ic"))).select(
-        "entity", "term", F.when(F.col("pmi") >= F.col("ic") - 1e-9, "remove").otherwise("generalise").alias("action"))
-    hit = near.join(telling, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("action").alias("action"))
-    # a group is the context of one document's entities
+    largest = held.agg(F.max("n_entity")).first()[0] or 0
+    rare = said.join(known.where(F.col("n_term") <= most(F.lit(largest))), "term")
+    together = ["like0", "like1", "n_entity", "term", "n_term"]
+    pairs = written(rare.join(held, ["row", "part"]).where(F.col("n_term") <= most(F.col("n_entity")))
+                    .select("row", "part", *together))
+    scored = pairs.groupBy(*together).agg(F.count(F.lit(1)).alias("n_both")).select(
+        "*", (F.log(n_all * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))).alias("pmi"),
+        F.log(n_all / F.col("n_entity")).alias("ic"), (F.col("n_both") / F.col("n_entity")).alias("q"),
+        (F.col("n_term") / n_all).alias("p"))
+    rest = F.when(F.col("q") < 1, (1 - F.col("q")) * (F.log(1 - F.col("q")) - F.log(1 - F.col("p")))).otherwise(0.0)
+    evidence = F.col("n_entity") * (F.col("q") * F.log(F.col("q") / F.col("p")) + rest)
+    telling = scored.where((F.col("ic") > 0) & (F.col("pmi") >= threshold * F.col("ic"))
+                           & (F.col("n_both") >= least_together) & (evidence >= -math.log(chance))).select(
+        "like0", "like1", "term", F.when(F.col("pmi") >= F.col("ic") - 1e-9, "remove").otherwise("generalise").alias("action"))
+    hit = pairs.join(telling, ["like0", "like1", "term"]).groupBy("row", "part", "term").agg(F.max("action").alias("action"))
+    hit = (parts.select("row", "part", F.inline("terms")).join(hit, ["row", "part", "term"])
+           .select("row", "action", F.inline("at")).groupBy("row", "start", "end").agg(F.max("action").alias("action")))
+    # a group is the words of one document
     spans = hit.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "action"))).alias("disclosing"))
     none = F.array().cast("array<struct<start:int,end:int,action:string>>")
     return marked.join(spans, "row", "left").select(

@@ -99,6 +99,44 @@ def test_scores_against_plain_counts(spark):
     assert {(r["doc_id"], s["start"], s["end"]) for r in rows for s in r["disclosing"]} == expected
 
 
+def test_whole_texts_and_entities_of_few_documents(spark):
+    rng = random.Random(5)
+    filler = [f"{a}{b}{c}" for a in "bdfg" for b in ("olin", "aren", "usti") for c in ("mer", "ta", "so")]
+    noise = lambda: " ".join(rng.choices(filler, k=30))
+    cases = [(0, f"Zebrafish {noise()} mail ann@mail.org and bob@mail.org {noise()} zebrafish"),
+             *[(i, f"{noise()} mail eve@mail.org {noise()} Okapi") for i in (1, 2)],
+             *[(i, f"{noise()} mail and {noise()}") for i in range(3, 1200)]]
+    rows = {r["doc_id"]: r for r in rows_of(disclosure.find(frame(spark, cases)))}
+    told = {i: [(t[s["start"]:s["end"]], s["action"]) for s in rows[i]["disclosing"]] for i, t in cases}
+    assert {i: x for i, x in told.items() if x} == {0: [("Zebrafish", "remove"), ("zebrafish", "remove")],
+                                                   1: [("Okapi", "remove")], 2: [("Okapi", "remove")]}
+
+
+def test_whole_texts_against_plain_counts(spark):
+    import math
+    cases = [(d, t or "") for d, t in documents().items()]
+    said = {d: set(re.findall(r"[^\W\d_]+", t.lower())) for d, t in cases}
+    spans = {d: disclosure.base_spans(t) for d, t in cases}
+    holds, outside = {}, {}
+    for d, t in cases:
+        for kind, a, b in spans[d]:
+            holds.setdefault(disclosure._entity(kind, t[a:b]), set()).add(d)
+        outside[d] = [(m[0].lower(), *m.span()) for m in re.finditer(r"[^\W\d_]{3,}", t)
+                      if not any(a < m.end() and m.start() < b for _, a, b in spans[d])]
+    n, expected = len(cases), set()
+    terms = {d: {w for w, _, _ in outside[d]} for d in spans}
+    for docs in holds.values():
+        ic = math.log(n / len(docs))
+        for w in set().union(*(terms[d] for d in docs)):
+            both, nt = sum(w in terms[d] for d in docs), sum(w in x for x in said.values())
+            q, p = both / len(docs), nt / n
+            evidence = len(docs) * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0))
+            if math.log(n * both / (len(docs) * nt)) >= 0.8 * ic > 0 and evidence >= -math.log(0.02):
+                expected |= {(d, a, b) for d in docs for x, a, b in outside[d] if x == w}
+    rows = rows_of(disclosure.find(frame(spark, cases), chance=0.02))
+    assert expected and {(r["doc_id"], s["start"], s["end"]) for r in rows for s in r["disclosing"]} == expected
+
+
 def test_awkward_documents(spark):
     rows = rows_of(disclosure.find(frame(spark, awkward())))
     assert len(rows) == len(awkward()) and disclosure.find(frame(spark, [])).count() == 0
