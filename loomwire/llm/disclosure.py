@@ -128,6 +128,7 @@ def context(text: str, spans: list[tuple[str, int, int]], reach: int) -> Iterato
 
 
 SPANS = "doc_id long, row long, base array<struct<kind:string,start:int,end:int>>"
+SLICE = 128  # documents marked at a time
 PARTS = ("array<struct<entities:array<binary>,terms:array<struct<term:string,"
          "at:array<struct<start:int,end:int>>>>>>")
 
@@ -158,7 +159,8 @@ def _marked(docs: DataFrame, reach: int | None) -> DataFrame:
     part = pa.struct([("entities", pa.list_(pa.binary())), ("terms", pa.list_(term))])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # small slices, as the words of a document take many times its size here
+        for batch in (b.slice(i, SLICE) for b in batches for i in range(0, b.num_rows, SLICE)):
             base, parts = [], []
             for text in batch.column(2).to_pylist():
                 spans = base_spans(text or "")
