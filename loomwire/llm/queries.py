@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import shared_folder
 from . import (backoff, compression, digest_tree, disclosure, line_dedup, mixing, packing, superminhash, token_files,
-               warc, whitening)
+               spelling, warc, whitening)
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -101,6 +101,10 @@ def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_fst_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -108,7 +112,7 @@ def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_compression_bands, op2_digest_tree, op3_ordered_packing, op4_line_neighbours,
                             op5_warc_segments, op6_tree_mix, op7_backoff_scores, op8_disclosure, op9_orc_tokens,
-                            op10_superminhash, op13_feast_whitening)}
+                            op10_superminhash, op12_fst_spelling, op13_feast_whitening)}
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
