@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import shared_folder
-from . import (backoff, compression, digest_tree, disclosure, line_dedup, mixing, packing, superminhash, token_files,
-               spelling, warc, whitening)
+from . import (backoff, compression, digest_tree, disclosure, language, line_dedup, mixing, packing, spelling,
+               superminhash, token_files, warc, whitening)
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -101,6 +101,10 @@ def op10_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op12_fst_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -112,7 +116,7 @@ def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_compression_bands, op2_digest_tree, op3_ordered_packing, op4_line_neighbours,
                             op5_warc_segments, op6_tree_mix, op7_backoff_scores, op8_disclosure, op9_orc_tokens,
-                            op10_superminhash, op12_fst_spelling, op13_feast_whitening)}
+                            op10_superminhash, op11_centroid_language, op12_fst_spelling, op13_feast_whitening)}
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
