@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import drop_words, tokens_unicode
 from ..operators import topic_terms as TT
+from ..operators.hierarchy import hdbscan
+from ..operators.neighbours import knn_graph
 from ..operators.vectors import fit_reduction, hashed_embedding, join_vectors, reduce_dims
 from ..plans import topics as P
 from ..session import written
@@ -100,6 +102,18 @@ def fitted(spark: SparkSession, d: str) -> DataFrame:
     return model.assign(vectors).groupBy("topic").agg(F.count(F.lit(1)).alias("count"))
 
 
+def neighbour_graph(spark: SparkSession, d: str) -> DataFrame:
+    """15 nearest neighbours by cosine of every embedding (NN-descent; recall against exact kNN in the tests)."""
+    return knn_graph(table(spark, d, "embeddings"), "vec_id", "embedding", k=15).select(
+        F.col("u").alias("vec_id"), F.col("v").alias("neighbour"), "rank", F.round("d", 6).alias("distance"))
+
+
+def hdbscan_topics(spark: SparkSession, d: str) -> DataFrame:
+    """HDBSCAN (eom, min_cluster_size 5) of the low-dimensional points, without eps."""
+    return hdbscan(_low_dimensional(spark, d), "vec_id", "coords", min_cluster_size=MIN_PTS).select(
+        F.col("id").alias("vec_id"), F.col("cluster").alias("topic"))
+
+
 QUERIES = {
     "topic_terms": topic_terms,
     "topic_name": lambda s, d: TT.topic_names(TT.term_lists(_terms(s, d))),
@@ -112,6 +126,8 @@ QUERIES = {
     "density_cluster": density_cluster,
     "assign_topics": assign_topics,
     "fit_topics": fitted,
+    "neighbour_graph": neighbour_graph,
+    "hdbscan_topics": hdbscan_topics,
 }
 
 _TERMS = rf"""WITH {SQL_ARTICLES},
