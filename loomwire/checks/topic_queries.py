@@ -83,6 +83,15 @@ def assign_topics(spark: SparkSession, d: str) -> DataFrame:
     return P.assign_points(rows, "coords", points, DIMS, EPS, FINENESS).select("vec_id", "topic")
 
 
+def assign_shifted(spark: SparkSession, d: str) -> DataFrame:
+    """Topics of every point moved by eps / 8 along each axis, from the model fitted on the unmoved points: most land
+    on lattice points the fit did not see and take the nearest core point's topic."""
+    rows = _low_dimensional(spark, d)
+    points = P.numbered_points(rows, "vec_id", "coords", DIMS, EPS, MIN_PTS, MIN_PTS, FINENESS)
+    moved = rows.select("vec_id", F.transform("coords", lambda x: x + F.lit(EPS / 8)).alias("coords"))
+    return P.assign_points(moved, "coords", points, DIMS, EPS, FINENESS).select("vec_id", "topic")
+
+
 def density_cluster(spark: SparkSession, d: str) -> DataFrame:
     """Sizes of the clusters and of the outliers, with the least vector of each."""
     return assign_topics(spark, d).groupBy("topic").agg(
@@ -128,6 +137,7 @@ QUERIES = {
     "fit_topics": fitted,
     "neighbour_graph": neighbour_graph,
     "hdbscan_topics": hdbscan_topics,
+    "assign_shifted": assign_shifted,
 }
 
 _TERMS = rf"""WITH {SQL_ARTICLES},

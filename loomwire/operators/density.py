@@ -73,8 +73,8 @@ def neighbour_cells(cells: DataFrame, dims: int, fineness: int) -> DataFrame:
 
 def density_clusters(points: DataFrame, coords: str, dims: int, eps: float, min_pts: int = 5,
                      min_cluster_size: int = 5, fineness: int = 4) -> DataFrame:
-    """(point, cluster) for every occupied lattice point; clusters are numbered by a core cell, and
-    what is no cluster or a cluster below ``min_cluster_size`` has none (null)."""
+    """(point, cluster, core) for every occupied lattice point; clusters are numbered by a core cell, and
+    what is no cluster or a cluster below ``min_cluster_size`` has none (null); ``core`` marks core points."""
     limit = dims * fineness * fineness
     place, own, far = _names("p", dims), _names("c", dims), _names("q", dims)
     snapped = (points.select(lattice_point(coords, dims, eps, fineness).alias("point"))
@@ -113,8 +113,10 @@ def density_clusters(points: DataFrame, coords: str, dims: int, eps: float, min_
                 .groupBy("pid").agg(F.min(F.struct(_distance("p", "q", dims).alias("distance"), "component")).alias("best"))
                 .select("pid", F.col("best.component").alias("component")))
     members = core.join(components, "node").select("pid", "component").unionByName(attached)
-    weighted = written(lattice.join(members, "pid", "left").select("weight", "component", F.array(*place).alias("point")))
+    cores = core.select("pid", F.lit(True).alias("core"))
+    weighted = written(lattice.join(members, "pid", "left").join(cores, "pid", "left").select(
+        "weight", "component", F.array(*place).alias("point"), F.coalesce("core", F.lit(False)).alias("core")))
     sizes = (weighted.where(F.col("component").isNotNull()).groupBy("component")
              .agg(F.sum("weight").alias("size")).where(F.col("size") >= min_cluster_size)
              .select("component", F.col("component").alias("cluster")))
-    return weighted.join(sizes, "component", "left").select("point", "cluster")
+    return weighted.join(sizes, "component", "left").select("point", "cluster", "core")

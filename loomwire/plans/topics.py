@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.stopwords import ENGLISH
 from ..functions.text import clean_text, title_and_summary, tokens_unicode
-from ..operators.density import density_clusters, lattice_point
+from ..operators.density import _distance, density_clusters, lattice_point, neighbour_cells
 from ..operators.ordering import with_index
 from ..operators.topic_terms import representative_docs, term_lists, topic_names, topic_terms
 from ..operators.vectors import fit_reduction, hashed_embedding, reduce_dims
@@ -53,16 +53,45 @@ class TopicModel:
 def assign_points(rows: DataFrame, coords: str, points: DataFrame, dims: int, eps: float,
                   fineness: int) -> DataFrame:
     """Rows with the topic of their lattice point. A point which holds many copies is split by the
-    adaptive join, since the other side has one row per point."""
+    adaptive join, since the other side has one row per point.
+
+    A lattice point that the fit did not see takes the topic of the nearest core point of a topic within eps (ties:
+    the smaller topic), found through neighbouring cells as in the fit; without one it is an outlier (-1). Points of a model
+    without core marks count as core when they have a topic.
+    """
     placed = rows.withColumn("_point", lattice_point(coords, dims, eps, fineness))
-    topics = points.select(F.col("point").alias("_point"), "topic")
+    core = F.col("core") if "core" in points.columns else F.col("topic") != OUTLIER
+    known = points.select(F.col("point").alias("_point"), "topic", core.alias("_core"))
+    unseen = placed.select("_point").distinct().join(known, "_point", "left_anti")
+    topics = known.select("_point", "topic").unionByName(_nearest_core(unseen, known, dims, fineness))
     return (placed.join(topics, "_point", "left").drop("_point")
             .withColumn("topic", F.coalesce("topic", F.lit(OUTLIER))))
 
 
+def _nearest_core(unseen: DataFrame, known: DataFrame, dims: int, fineness: int) -> DataFrame:
+    """(_point, topic) for lattice points the fit did not see: the nearest core point within eps, else -1."""
+    limit = dims * fineness * fineness
+    place, own, far = [f"p{i}" for i in range(dims)], [f"c{i}" for i in range(dims)], [f"q{i}" for i in range(dims)]
+
+    def spread(df: DataFrame) -> DataFrame:
+        coords = df.select("*", *[F.get("_point", F.lit(i)).alias(p) for i, p in enumerate(place)])
+        return coords.withColumns({c: F.floor(F.col(p) / fineness).cast("long") for c, p in zip(own, place)})
+
+    asked = spread(unseen)
+    cores = spread(known.where(F.col("_core") & (F.col("topic") != OUTLIER)))
+    cells = asked.select(*own).unionByName(cores.select(*own)).distinct().withColumn("node", F.xxhash64(*own))
+    pairs = neighbour_cells(cells.select("node", *own), dims, fineness)
+    near = cores.select(F.xxhash64(*own).alias("v"), "topic", *[F.col(p).alias(q) for p, q in zip(place, far)])
+    found = (asked.withColumn("u", F.xxhash64(*own)).join(pairs, "u").join(near, "v")
+             .where(_distance("p", "q", dims) <= limit)
+             .groupBy("_point").agg(F.min(F.struct(_distance("p", "q", dims).alias("d"), "topic")).alias("best")))
+    return unseen.join(found, "_point", "left").select(
+        "_point", F.coalesce("best.topic", F.lit(OUTLIER)).cast("int").alias("topic"))
+
+
 def numbered_points(rows: DataFrame, key: str, coords: str, dims: int, eps: float, min_pts: int = 5,
                     min_cluster_size: int = 5, fineness: int = 4) -> DataFrame:
-    """(point, topic): clusters numbered by size, largest first, then by their least key."""
+    """(point, topic, core): clusters numbered by size, largest first, then by their least key."""
     clusters = density_clusters(rows, coords, dims, eps, min_pts, min_cluster_size, fineness)
     per_point = (rows.select(lattice_point(coords, dims, eps, fineness).alias("point"), F.col(key).alias("_key"))
                  .groupBy("point").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("first")))
@@ -70,7 +99,7 @@ def numbered_points(rows: DataFrame, key: str, coords: str, dims: int, eps: floa
              .agg(F.sum("n").alias("n"), F.min("first").alias("first")))
     numbers = with_index(sizes, [F.desc("n"), F.col("first")], "topic").select("cluster", "topic")
     return (clusters.join(numbers, "cluster", "left")
-            .select("point", F.coalesce("topic", F.lit(OUTLIER)).cast("int").alias("topic")))
+            .select("point", F.coalesce("topic", F.lit(OUTLIER)).cast("int").alias("topic"), "core"))
 
 
 def fit_topics(vectors: DataFrame, key: str, embedding: str = "embedding", components: int = 5,
