@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.text import drop_words, tokens_unicode
 from ..operators import topic_terms as TT
 from ..operators.hierarchy import hdbscan
+from ..operators.matching import match_topics
 from ..operators.neighbours import knn_graph
 from ..operators.vectors import fit_reduction, hashed_embedding, join_vectors, reduce_dims
 from ..plans import topics as P
@@ -92,6 +93,16 @@ def assign_shifted(spark: SparkSession, d: str) -> DataFrame:
     return P.assign_points(moved, "coords", points, DIMS, EPS, FINENESS).select("vec_id", "topic")
 
 
+def topic_identity(spark: SparkSession, d: str) -> DataFrame:
+    """Topics of a second clustering (eps larger by a quarter) renamed to the first one's ids by shared vectors."""
+    rows = _low_dimensional(spark, d)
+    runs = []
+    for eps in (EPS, EPS * 1.25):
+        points = P.numbered_points(rows, "vec_id", "coords", DIMS, eps, MIN_PTS, MIN_PTS, FINENESS)
+        runs.append(written(P.assign_points(rows, "coords", points, DIMS, eps, FINENESS).select("vec_id", "topic")))
+    return match_topics(runs[0], runs[1], "vec_id").select("vec_id", "topic", "fresh_topic")
+
+
 def density_cluster(spark: SparkSession, d: str) -> DataFrame:
     """Sizes of the clusters and of the outliers, with the least vector of each."""
     return assign_topics(spark, d).groupBy("topic").agg(
@@ -138,6 +149,7 @@ QUERIES = {
     "neighbour_graph": neighbour_graph,
     "hdbscan_topics": hdbscan_topics,
     "assign_shifted": assign_shifted,
+    "topic_identity": topic_identity,
 }
 
 _TERMS = rf"""WITH {SQL_ARTICLES},
