@@ -118,9 +118,12 @@ def _grouped(docs: DataFrame, tokens: str, doc_ord: str, cross_document: bool, w
 
 
 def _pairs_of(grouped: DataFrame, cross_document: bool) -> DataFrame:
-    inside = grouped.where(F.col("kind") == _PAIR).select("term", "count", "first_seen")
     if not cross_document:
-        return inside
+        return grouped.where(F.col("kind") == _PAIR).select("term", "count", "first_seen")
+    # the filter refers to ord (always true): both branches then keep the same aggregate, max(border) included, and the
+    # second one reuses the first one's shuffle instead of reading and shuffling the text again
+    inside = grouped.where((F.col("kind") == _PAIR) & (F.coalesce("ord", F.lit(-1)) >= -1)).select(
+        "term", "count", "first_seen")
     outer_words = F.split("term", " ")
     ends = grouped.where(F.col("kind") == _BORDER).select(
         "ord", F.get(outer_words, F.lit(0)).alias("first"), F.get(outer_words, F.lit(1)).alias("last"),
