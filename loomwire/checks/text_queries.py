@@ -9,6 +9,7 @@ from ..functions.stopwords import ENGLISH
 from ..operators import counts as C
 from ..operators import keywords as K
 from ..operators.lemmas import clean_with_lemmas
+from ..operators.qgram_search import search_terms
 from ..operators.search import search_articles
 from ..plans.frequencies import corpus_tokens, frequency_tables
 from . import views as V
@@ -94,6 +95,13 @@ def sheets(spark: SparkSession, d: str) -> DataFrame:
             .unionByName(tables["bigrams"].selectExpr("'bigrams' AS sheet", "Bigram AS entry", "Count AS n")))
 
 
+def search_term_table(spark: SparkSession, d: str) -> DataFrame:
+    """Every word of the benchmark passages, as a term table, against every article, through the q-gram postings."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{2,}"), 0)
+    terms = V.table(spark, d, "benchmark").select(F.explode(words).alias("term")).distinct()
+    return search_terms(V.articles(spark, d), "doc_id", T.search_text(), terms, "term", "term").select("term", "doc_id")
+
+
 def search(spark: SparkSession, d: str) -> DataFrame:
     return search_articles(V.articles(spark, d), V.PHRASES, keep=("doc_id", "link"))
 
@@ -125,6 +133,7 @@ QUERIES = {
         C.pair_counts(_tokens(s, d), "tokens", "doc_id", cross_document=True), 50)),
     "frequency_sheets": sheets,
     "search_articles": search,
+    "search_term_table": search_term_table,
     "highlight": lambda s, d: _docs(s, d).select("doc_id", T.highlight("text", ["tion", "the."]).alias("marked")),
 }
 
@@ -194,6 +203,9 @@ FROM documents LEFT JOIN pairs p USING (doc_id) GROUP BY doc_id""",
     "frequency_sheets": f"""{_FREQ}, {_ACROSS}
 SELECT 'words' AS sheet, term AS entry, count AS n FROM ({_sql_top('words', 50)})
 UNION ALL SELECT 'bigrams', term, count FROM ({_sql_top('pairs', 50)})""",
+    "search_term_table": f"""WITH {SQL_ARTICLES}, texts AS (SELECT doc_id, lower({SQL_BOTH}) AS t FROM articles),
+terms AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{2,}}')) AS term FROM benchmark)
+SELECT term, doc_id FROM terms JOIN texts ON contains(t, term)""",
     "search_articles": f"""WITH {SQL_ARTICLES}, texts AS (SELECT *, lower({SQL_BOTH}) AS t FROM articles)
 SELECT 'thatin' AS phrase, title, {_sql_mark('summary', 'thatin')} AS summary, doc_id, link
 FROM texts WHERE contains(t, 'thatin')
