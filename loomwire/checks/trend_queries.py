@@ -217,6 +217,7 @@ QUERIES = {
     "top_topics": lambda s, d: _rounded(P.top_topics(P.with_scores(_metrics(s, d))), "trend_score"),
     "this_prev_week": lambda s, d: W.this_and_previous(_weekly(s, d)),
     "source_diversity": lambda s, d: W.this_and_previous(_weekly(s, d)).select("topic", "source_count"),
+    "source_diversity_approx": lambda s, d: W.approx_source_diversity(W.source_sketches(_kept(s, d))),
     "topic_week_mentions": lambda s, d: W.topic_weeks(_weekly(s, d)),
     "topic_week_source_mentions": _weekly,
     "week_histogram": lambda s, d: W.week_histogram(_weekly(s, d)),
