@@ -12,6 +12,7 @@ from ..functions import web as H
 from ..functions.stopwords import PRODUCT
 from ..functions.text import decode_entities, html_to_text
 from ..operators import counts as C
+from ..operators.crawl import crawl_positions
 from ..plans.products import product_report, with_tokens
 from ..sources import listings as L
 from ..sources.feeds import summary_choice
@@ -105,7 +106,26 @@ def _with_rank(top: DataFrame) -> DataFrame:
     return top.select(rank.alias("rank"), "term", "count")
 
 
+def crawl_order(spark: SparkSession, d: str) -> DataFrame:
+    """Walks of next links from every page that no other page links to, with each page's first step.
+
+    The links are written into the pages: page n links to page n + 1, the last of every fifty back to twenty pages
+    before, so walks end in cycles; the next-page reader finds them in the markup again.
+    """
+    pages = _pages(spark, d)
+    target = F.when(F.col("page_id") % 50 == 49, F.col("page_id") - 20).otherwise(F.col("page_id") + 1)
+    urls = pages.select(F.col("page_id").alias("_t"), F.col("url").alias("_t_url"))
+    marked = pages.withColumn("_t", target).join(urls, "_t", "left").select(
+        "url", _c(F.coalesce("html", F.lit("")), '<a aria-label="next" href="', F.coalesce("_t_url", F.lit("")),
+                  '">Next</a>').alias("html"))
+    links = marked.select(F.col("url").alias("page"), H.next_page("html", "url").alias("next"))
+    starts = links.select(F.col("page").alias("start")).join(
+        links.select(F.col("next").alias("start")), "start", "left_anti")
+    return crawl_positions(links, starts).select("start", "page", F.col("position").cast("long").alias("position"))
+
+
 QUERIES = {
+    "crawl_order": crawl_order,
     "feed_items": feed_items,
     "html_to_text": lambda s, d: _pages(s, d).select("page_id", html_to_text("html").alias("text")),
     "listing_links": lambda s, d: L.listing_links(_pages(s, d), "html", SHOP, LINK_PATTERN),
@@ -142,6 +162,15 @@ _NEXT = f"""CASE page_id % 5 WHEN 2 THEN '{SHOP}/new?p=' || page_id WHEN 4 THEN
   ELSE '{SHOP}/new?page=' || page_id END"""
 
 ORACLES = {
+    "crawl_order": """WITH RECURSIVE t AS (SELECT p.url AS page, q.url AS nxt FROM pages p LEFT JOIN pages q
+  ON q.page_id = CASE WHEN p.page_id % 50 = 49 THEN p.page_id - 20 ELSE p.page_id + 1 END),
+links AS (SELECT page, min(nxt) AS nxt FROM t WHERE page IS NOT NULL GROUP BY page),
+jump AS (SELECT page, nxt FROM links WHERE nxt IN (SELECT page FROM links) AND nxt <> page),
+starts AS (SELECT page AS start FROM links WHERE page NOT IN (SELECT nxt FROM links WHERE nxt IS NOT NULL)),
+walk(start, page, step, path) AS (SELECT start, start, 0, [start] FROM starts
+  UNION ALL SELECT w.start, j.nxt, w.step + 1, list_append(w.path, j.nxt) FROM walk w JOIN jump j ON j.page = w.page
+  WHERE NOT list_contains(w.path, j.nxt))
+SELECT start, page, CAST(min(step) AS BIGINT) AS position FROM walk GROUP BY start, page""",
     "feed_items": f"""SELECT page_id, {sql_unescape(_TITLE)} AS title,
   {sql_text("regexp_extract(html, '(?is)<article>.*?</article>')")} AS summary, url AS link FROM pages""",
     "html_to_text": f"SELECT page_id, {sql_text('html')} AS text FROM pages",
