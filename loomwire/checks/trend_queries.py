@@ -13,6 +13,7 @@ from ..functions.weeks import parse_ts, year_week
 from ..operators.dedupe import drop_known, keep_first, keep_last
 from ..operators.topic_terms import topic_sizes
 from ..operators import weeks as W
+from ..plans import incremental as I
 from ..plans import trend as P
 from ..schemas import CLEAN_COLUMNS, keep_columns
 from ..session import shared_folder
@@ -34,6 +35,24 @@ def _weekly(spark: SparkSession, d: str) -> DataFrame:
     return W.weekly_mentions(_kept(spark, d))
 
 
+def incremental_weekly(spark: SparkSession, d: str) -> DataFrame:
+    """The weekly mentions from two steps of the stored state: all but the last seven days, then those days."""
+    articles = V.articles(spark, d, time=True, topic=True)
+    ts = parse_ts("ingested_at") if dict(articles.dtypes)["ingested_at"] == "string" else F.col("ingested_at")
+    stamped = articles.withColumn("_ts", ts)
+    last = stamped.agg(F.max("_ts")).first()[0]
+    state = f"{shared_folder(spark)}/weekly-state-{uuid.uuid4().hex}"
+    if last is not None:
+        recent = F.col("_ts") >= F.lit(last) - F.expr("INTERVAL 7 DAYS")
+        I.step(spark, state, stamped.where(~recent | F.col("_ts").isNull()).drop("_ts"), ORDER)
+        I.step(spark, state, stamped.where(recent).drop("_ts"), ORDER)
+    else:
+        I.step(spark, state, articles, ORDER)
+    if last is None:
+        return _weekly(spark, d).limit(0)
+    return I.weekly(spark, state)
+
+
 def _metrics(spark: SparkSession, d: str) -> DataFrame:
     return W.with_metrics(W.this_and_previous(_weekly(spark, d)))
 
@@ -220,6 +239,7 @@ QUERIES = {
     "source_diversity_approx": lambda s, d: W.approx_source_diversity(W.source_sketches(_kept(s, d))),
     "topic_week_mentions": lambda s, d: W.topic_weeks(_weekly(s, d)),
     "topic_week_source_mentions": _weekly,
+    "incremental_weekly": incremental_weekly,
     "week_histogram": lambda s, d: W.week_histogram(_weekly(s, d)),
     "recent_weeks": lambda s, d: W.recent_weeks(_weekly(s, d), 3).select("year_week"),
     "latest_week_semi": lambda s, d: W.of_latest_week(_kept(s, d), _weekly(s, d)).select("doc_id", "topic", "source"),
@@ -274,6 +294,7 @@ FROM scores s LEFT JOIN scores2 p USING (topic)""",
     "source_diversity": f"{_M} SELECT topic, sources AS source_count FROM metrics",
     "topic_week_mentions": f"WITH {SQL_KEPT} SELECT topic, year_week, count(*) AS mentions FROM kept GROUP BY ALL",
     "topic_week_source_mentions": f"WITH {SQL_KEPT} SELECT topic, year_week, source, n AS mentions_by_source FROM weekly",
+    "incremental_weekly": f"WITH {SQL_KEPT} SELECT topic, year_week, source, n AS mentions_by_source FROM weekly",
     "week_histogram": f"WITH {SQL_KEPT} SELECT year_week, count(*) AS articles FROM kept GROUP BY ALL",
     "recent_weeks": f"WITH {SQL_KEPT} SELECT year_week FROM weeks WHERE k <= 3",
     "latest_week_semi": f"""WITH {SQL_KEPT} SELECT doc_id, topic, source FROM kept
