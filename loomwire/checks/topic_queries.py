@@ -9,7 +9,8 @@ from ..operators import topic_terms as TT
 from ..operators.hierarchy import hdbscan
 from ..operators.matching import match_topics
 from ..operators.neighbours import knn_graph
-from ..operators.vectors import fit_reduction, hashed_embedding, join_vectors, reduce_dims
+from ..operators.vectors import (fit_reduction, fit_text_vectors, hashed_embedding, join_vectors, reduce_dims,
+                                 text_vectors, vector_terms)
 from ..plans import topics as P
 from ..session import written
 from . import views as V
@@ -103,6 +104,14 @@ def topic_identity(spark: SparkSession, d: str) -> DataFrame:
     return match_topics(runs[0], runs[1], "vec_id").select("vec_id", "topic", "fresh_topic")
 
 
+def tfidf_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Fitted TF-IDF vectors of the documents (terms in at least 5 % of them), as (doc_id, term, weight)."""
+    docs = documents(spark, d).select("doc_id", tokens_unicode("text").alias("tokens"))
+    model = fit_text_vectors(docs, "tokens", 0.05)
+    return vector_terms(model, text_vectors(model, docs, "tokens"), "doc_id").select(
+        "doc_id", "term", F.round("weight", 5).alias("weight"))
+
+
 def density_cluster(spark: SparkSession, d: str) -> DataFrame:
     """Sizes of the clusters and of the outliers, with the least vector of each."""
     return assign_topics(spark, d).groupBy("topic").agg(
@@ -150,6 +159,7 @@ QUERIES = {
     "hdbscan_topics": hdbscan_topics,
     "assign_shifted": assign_shifted,
     "topic_identity": topic_identity,
+    "tfidf_vectors": tfidf_vectors,
 }
 
 _TERMS = rf"""WITH {SQL_ARTICLES},
@@ -205,6 +215,16 @@ SELECT a.topic AS "Topic", a.n AS "Count", name AS "Name", representation AS "Re
 FROM (SELECT topic, count(*) AS n FROM articles GROUP BY topic) a LEFT JOIN names USING (topic)
 LEFT JOIN (SELECT topic, string_agg(summary, '|' ORDER BY rank) AS titles FROM docs JOIN tok USING (topic, doc_id)
            GROUP BY topic) t USING (topic)""",
+    "tfidf_vectors": r"""WITH toks AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\p{L}+') AS t FROM documents),
+m AS (SELECT count(*) AS m FROM toks),
+words AS (SELECT doc_id, unnest(t) AS term FROM toks),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+kept AS (SELECT term, ln((m + 1.0) / (df + 1.0)) AS idf FROM df, m WHERE df >= 0.05 * m),
+w AS (SELECT doc_id, term, tf * idf AS x FROM tf JOIN kept USING (term)),
+n AS (SELECT doc_id, sqrt(sum(x * x)) AS norm FROM w GROUP BY doc_id)
+SELECT doc_id, term, round(CAST(CAST(x / norm AS FLOAT) AS DOUBLE), 5) AS weight FROM w JOIN n USING (doc_id)
+WHERE x <> 0 AND norm > 0""",
     "embed_text": rf"""WITH words AS (SELECT doc_id, md5(unnest(regexp_extract_all(lower(text), '\p{{L}}+'))) AS h FROM documents),
 codes AS (SELECT doc_id, CAST('0x' || substr(h, 1, 8) AS BIGINT) % {2 * WIDTH} AS code FROM words),
 sums AS (SELECT doc_id, CAST(code // 2 AS INTEGER) AS bucket,

@@ -79,3 +79,31 @@ def reduce_dims(model: PipelineModel, vectors: DataFrame, embedding: str = "embe
 def join_vectors(docs: DataFrame, vectors: DataFrame, key: str) -> DataFrame:
     """Documents with their vectors, by key and not by row position."""
     return docs.join(vectors, key)
+
+
+def fit_text_vectors(docs: DataFrame, tokens: str, min_df: float = 0.05, most_terms: int = 1 << 18) -> PipelineModel:
+    """A fitted Spark ML pipeline: term counts over the vocabulary of terms in at least ``min_df`` of the documents
+    (a count from 1 on), IDF log((m + 1) / (df + 1)), unit length. Save and load it as any PipelineModel.
+
+    ``most_terms`` bounds the vocabulary, which every task holds; it is meant to exceed the terms that pass ``min_df``,
+    so that the vocabulary does not depend on ties at the cut.
+    """
+    from pyspark.ml.feature import IDF, CountVectorizer
+
+    stages = [CountVectorizer(inputCol=tokens, outputCol="_tf", minDF=min_df, vocabSize=most_terms),
+              IDF(inputCol="_tf", outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="_unit", p=2.0)]
+    return Pipeline(stages=stages).fit(docs.select(tokens))
+
+
+def text_vectors(model: PipelineModel, docs: DataFrame, tokens: str, output: str = "embedding") -> DataFrame:
+    """The documents with the fitted vector as ``array<float>`` (one place per vocabulary term); for ``encode``."""
+    return model.transform(docs).withColumn(output, vector_to_array("_unit", "float32")).drop("_tf", "_tfidf", "_unit")
+
+
+def vector_terms(model: PipelineModel, vectors: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
+    """(key, term, weight) of the non-zero places of fitted vectors; the vocabulary is a small dimension table."""
+    vocabulary = model.stages[0].vocabulary
+    spark = vectors.sparkSession
+    terms = spark.createDataFrame(list(enumerate(vocabulary)), "place int, term string")
+    places = vectors.select(key, F.posexplode(vector).alias("place", "weight")).where(F.col("weight") != 0)
+    return places.join(terms, "place").select(key, "term", F.col("weight").cast("double").alias("weight"))
