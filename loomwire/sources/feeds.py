@@ -9,6 +9,7 @@ from ..functions.text import html_to_text, or_empty
 from ..functions.web import dedupe_key, first_image
 from ..operators.dedupe import drop_known, keep_first
 from ..operators.keywords import with_matches
+from ..session import written
 
 _URL = T.ArrayType(T.StructType([T.StructField("_url", T.StringType())]))
 # with an attribute an element is a struct whose text is _VALUE
@@ -25,13 +26,19 @@ ATOM_ENTRY = T.StructType([
     T.StructField("media:content", _URL), T.StructField("_corrupt_record", T.StringType())])
 
 
-def _read(reader: DataFrameReader | DataStreamReader, path: str | list[str], tag: str,
-          schema: T.StructType) -> DataFrame:
-    """Items of all documents; what cannot be read is skipped, as a failing feed is."""
+def _raw(reader: DataFrameReader | DataStreamReader, path: str | list[str], tag: str,
+         schema: T.StructType) -> DataFrame:
+    """Records of all documents with their file; a record that cannot be read keeps its text in _corrupt_record."""
     raw = (reader.format("xml").schema(schema).option("rowTag", tag).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record").option("ignoreCorruptFiles", True)
            .load(path))
-    return raw.withColumn("feed", F.col("_metadata.file_name")).where(F.col("_corrupt_record").isNull())
+    return raw.withColumn("feed", F.col("_metadata.file_name"))
+
+
+def _read(reader: DataFrameReader | DataStreamReader, path: str | list[str], tag: str,
+          schema: T.StructType) -> DataFrame:
+    """Items of all documents; what cannot be read is skipped, as a failing feed is (``feed_rejects`` tells which)."""
+    return _raw(reader, path, tag, schema).where(F.col("_corrupt_record").isNull())
 
 
 def items(reader: DataFrameReader | DataStreamReader, path: str | list[str]) -> DataFrame:
@@ -49,6 +56,25 @@ def items(reader: DataFrameReader | DataStreamReader, path: str | list[str]) ->
     return rss.unionByName(atom)
 
 
+def feed_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(feed, reason, records) of what ``items`` leaves out: per file the records that could not be read
+    ('corrupt record', counted in the item and in the entry pass, as both read every file), and files with neither a readable item nor entry ('no items', records 0), which covers files
+    that are not XML at all. Files are listed without reading their content. Runs Spark jobs while it is built."""
+    # Spark reads the corrupt-record column only beside a parsed one, so the records are written with their title
+    records = [written(_raw(spark.read, path, tag, schema).select(
+        "feed", "title", F.col("_corrupt_record").isNotNull().alias("bad")))
+        for tag, schema in (("item", RSS_ITEM), ("entry", ATOM_ENTRY))]
+    per_file = records[0].drop("title").unionByName(records[1].drop("title")).groupBy("feed").agg(
+        F.sum(F.col("bad").cast("long")).alias("bad"), F.sum((~F.col("bad")).cast("long")).alias("good"))
+    files = (spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_name").alias("feed"))
+             .join(per_file, "feed", "left"))
+    corrupt = files.where(F.col("bad") > 0).select("feed", F.lit("corrupt record").alias("reason"),
+                                                   F.col("bad").alias("records"))
+    empty = files.where(F.coalesce("good", F.lit(0)) == 0).select(
+        "feed", F.lit("no items").alias("reason"), F.lit(0).cast("long").alias("records"))
+    return corrupt.unionByName(empty)
+
+
 def numbered(found: DataFrame) -> DataFrame:
     """Add ``item_ord``, which orders the items of one document (a document is read by one task)."""
     return found.withColumn("item_ord", F.monotonically_increasing_id())
