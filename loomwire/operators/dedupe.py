@@ -33,3 +33,20 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 def drop_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in a table of keys seen before; a null key is never known."""
     return df.join(known.select(*keys), list(keys), "left_anti")
+
+
+def save_key_history(keys: DataFrame, table: str, key_columns: Sequence[str], buckets: int = 64,
+                     mode: str = "append") -> None:
+    """Store seen keys as a table bucketed and sorted by the keys, in the session's warehouse.
+
+    ``drop_known_bucketed`` then joins against it without moving it: only the new rows are shuffled, into the
+    table's buckets. Choose ``buckets`` at least ``spark.sql.shuffle.partitions``, so the planner keeps the buckets.
+    """
+    (keys.select(*key_columns).write.mode(mode).bucketBy(buckets, *key_columns).sortBy(*key_columns)
+     .saveAsTable(table))
+
+
+def drop_known_bucketed(df: DataFrame, table: str, key_columns: Sequence[str]) -> DataFrame:
+    """Rows whose key is not in the bucketed key table; a null key is never known."""
+    known = df.sparkSession.table(table).select(*key_columns)
+    return df.join(known, list(key_columns), "left_anti")
