@@ -61,17 +61,17 @@ def representative_docs(docs: DataFrame, key: str, topic: str, tokens: str, term
                         n: int = 3, digits: int = 9) -> DataFrame:
     """(topic, key, score, rank): the n documents which hold most weight of their topic's terms.
 
-    A document's score is the sum of the weights of its topic's terms which occur in it. The topics with their
-    terms, some dozen entries each, come as one map to the rows: no token or document is shuffled before the n best
-    of each task are chosen.
+    A document's score is the sum of the weights of its topic's terms which occur in it, added in rank order. The
+    documents join a table of one row per topic (its terms as a map); Spark broadcasts it when its size allows and
+    otherwise splits hot topics at run time. One hash-based intersection per row finds the terms present.
     """
-    known = terms.groupBy(F.col("topic").alias("_topic")).agg(F.array_sort(F.collect_list(F.struct(
-        "rank", "term", "weight"))).alias("_terms"))
-    table = known.agg(F.map_from_entries(F.collect_list(F.struct("_topic", "_terms"))).alias("_map")).scalar()
-    score = F.aggregate("_terms", F.lit(0.0), lambda acc, t: acc + F.when(
-        F.array_contains(F.col(tokens), t["term"]), t["weight"]).otherwise(0.0))
+    known = terms.groupBy(F.col("topic").alias("topic")).agg(F.map_from_entries(F.collect_list(F.struct(
+        "term", F.struct("rank", "weight")))).alias("_terms"))
+    present = F.array_intersect(F.col(tokens), F.map_keys("_terms"))
+    ordered = F.array_sort(F.transform(present, lambda t: F.element_at(F.col("_terms"), t)))
+    score = F.aggregate(ordered, F.lit(0.0), lambda acc, t: acc + t["weight"])
     scored = (docs.where(F.col(topic).isNotNull())
               .select(F.col(key).alias("_key"), F.col(topic).alias("topic"), tokens)
-              .withColumn("_terms", F.try_element_at(table, F.col("topic"))).where(F.col("_terms").isNotNull())
+              .join(known, "topic")
               .select("topic", "_key", F.round(score, digits).alias("score")))
     return _ranked(scored, "topic", [F.desc("score"), "_key"], n).withColumnRenamed("_key", key)
