@@ -38,7 +38,10 @@ def _raw(reader: DataFrameReader | DataStreamReader, path: str | list[str], tag:
 def _read(reader: DataFrameReader | DataStreamReader, path: str | list[str], tag: str,
           schema: T.StructType) -> DataFrame:
     """Items of all documents; what cannot be read is skipped, as a failing feed is (``feed_rejects`` tells which)."""
-    return _raw(reader, path, tag, schema).where(F.col("_corrupt_record").isNull())
+    # the filter also reads the title (always true): Spark refuses to read the corrupt-record column alone, which a
+    # count of the items would otherwise ask for
+    parsed = F.length(F.coalesce(F.col("title._VALUE"), F.lit(""))) >= 0
+    return _raw(reader, path, tag, schema).where(F.col("_corrupt_record").isNull() & parsed)
 
 
 def items(reader: DataFrameReader | DataStreamReader, path: str | list[str]) -> DataFrame:

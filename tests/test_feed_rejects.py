@@ -34,5 +34,6 @@ def test_items_and_rejects(spark, tmp_path):
     # every file is accounted for: items where they could be read, corrupt records (of the item and the entry pass)
     # where not, and files without any item or entry
     assert by_file == {"good.xml": 2, "broken.xml": 1, "atom.xml": 1}
+    assert read_items(spark, folder).count() == 4  # a count alone reads a parsed column as well
     assert rejects == {("broken.xml", "corrupt record"): 2, ("junk.xml", "corrupt record"): 2,
                        ("junk.xml", "no items"): 0}
