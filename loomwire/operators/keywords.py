@@ -8,14 +8,18 @@ automaton, some hundred bytes per keyword.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate, chain
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
-from ..functions.text import or_empty, split_list
+from ..functions.text import constant_strings, or_empty, split_list
 
 _NAMES = ("ord", "category", "keyword")
+_NONE = "\x00null"  # stands for a null among constants
+_TOGETHER = 64       # texts a worker has as Python objects at a time
 
 
 def seed_rows(seed: DataFrame) -> list[Row]:
@@ -30,47 +34,75 @@ def _is_word(char: str) -> bool:
 
 
 def finder(lows: list[str], whole_word: bool) -> Callable[[str], list[int]]:
-    """A function from a text to the positions in the list of the keywords in it, ascending."""
+    """A function from a text to the numbers of the texts of the list in it, which differ from each other."""
     import ahocorasick
 
     automaton = ahocorasick.Automaton()
-    places: dict[str, list[int]] = {}
+    always = [i for i, low in enumerate(lows) if not low]
     for i, low in enumerate(lows):
-        places.setdefault(low, []).append(i)
-    for low in places:
         if low:
-            automaton.add_word(low, low)
+            automaton.add_word(low, (i, len(low)))
     automaton.make_automaton()
 
     def find(text: str) -> list[int]:
-        found = {""} if "" in places else set()
+        found = set(always)
         if len(automaton):
-            for end, low in automaton.iter(text):
-                if low in found:
+            for end, (i, size) in automaton.iter(text):
+                if i in found:
                     continue
-                start = end + 1 - len(low)
+                start = end + 1 - size
                 if not whole_word or not (start and _is_word(text[start - 1])
                                           or end + 1 < len(text) and _is_word(text[end + 1])):
-                    found.add(low)
-        return sorted(i for low in found for i in places[low])
+                    found.add(i)
+        return list(found)
 
     return find
 
 
 def with_seeds(articles: DataFrame, text: Column, seed: DataFrame, whole_word: bool = False) -> DataFrame:
-    """articles with ``_seeds``: the seed rows (ord, category, keyword) found in the text."""
+    """articles with ``_seeds``: the seed rows (ord, category, keyword) found in the text.
+
+    A worker returns numbers of different keywords, so what it holds of a batch is bounded by the texts, however often
+    the list repeats a keyword. The rows of each keyword come from constants of the plan.
+    """
     seeds = seed_rows(seed)
-    lows = [r["low"] for r in seeds]
+    rows_of: dict[str, list[int]] = {}
+    for i, r in enumerate(seeds):
+        rows_of.setdefault(r["low"], []).append(i)
+    lows = list(rows_of)
     kind = seed.schema["ord"].dataType.simpleString() if "ord" in seed.columns else "int"
-    table = [{c: r[c] if c in r else None for c in _NAMES} for r in seeds]
 
-    @F.pandas_udf(f"array<struct<ord:{kind},category:string,keyword:string>>")
-    def rows_at(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def numbers(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         find = finder(lows, whole_word)
         for batch in batches:
-            yield batch.map(lambda t: [table[i] for i in find(t)] if t is not None else [])
+            found, ends = array("i"), [0]
+            for at in range(0, len(batch), _TOGETHER):
+                for text in batch.slice(at, _TOGETHER).to_pylist():
+                    found.extend(find(text) if text is not None else ())
+                    ends.append(len(found))
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(
+                pa.int32(), len(found), [None, pa.py_buffer(found)]))
+
+    def constants(name: str) -> Column:
+        return constant_strings([_NONE if name not in r or r[name] is None else str(r[name]) for r in seeds])
+
+    def integers(values: Iterable[int]) -> Column:
+        return constant_strings([str(v) for v in values]).try_cast("array<int>")
+
+    starts = integers(accumulate(map(len, rows_of.values()), initial=1))
+    order = integers(chain.from_iterable(rows_of.values()))
+
+    def places(number: Column) -> Column:
+        start = F.get(starts, number)
+        return F.slice(order, start, F.get(starts, number + 1) - start)
+
+    def value(name: str, place: Column, kind: str) -> Column:
+        return F.nullif(F.get(constants(name), place), F.lit(_NONE)).cast(kind).alias(name)
 
-    return articles.withColumn("_seeds", rows_at(text))
+    found = F.sort_array(F.flatten(F.transform(numbers(text), places)))
+    return articles.withColumn("_seeds", F.transform(found, lambda i: F.struct(
+        value("ord", i, kind), value("category", i, "string"), value("keyword", i, "string"))))
 
 
 def keyword_pairs(articles: DataFrame, key: str, text: Column, seed: DataFrame,
