@@ -30,3 +30,11 @@ def test_worker_returns_numbers_of_keywords(spark):
     assert "ArrowEvalPython [numbers(" in plan(found, "sparkPlan")  # not rows of the list, which repeats keywords
     rows = {r["id"]: [tuple(s) for s in r["_seeds"]] for r in found.collect()}
     assert rows == {1: [(None, "e", "b"), (1, "c", "Ab"), (2, None, "ab")], 2: [], 3: []}
+
+
+def test_search_of_a_long_text(spark):
+    docs = spark.createDataFrame([(1, "abcdefghij é" * 40_000)], "id long, text string")
+    terms = spark.createDataFrame([("j éabc",), ("é",), ("zz",), ("ja",)], "t string")
+    began = time.time()
+    assert {r["t"] for r in search_terms(docs, "id", "text", terms, "t", "t").collect()} == {"j éabc", "é"}
+    assert time.time() - began < 20
