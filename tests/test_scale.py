@@ -38,3 +38,10 @@ def test_search_of_a_long_text(spark):
     began = time.time()
     assert {r["t"] for r in search_terms(docs, "id", "text", terms, "t", "t").collect()} == {"j éabc", "é"}
     assert time.time() - began < 20
+
+
+def test_lemmas_of_a_repeated_key(spark):
+    docs = spark.createDataFrame([(1, "cats and dogs"), (1, "the cats run"), (2, None)], "id long, text string")
+    words = spark.createDataFrame([("cats", "cat"), ("dogs", "do"), ("run", None)], "word string, lemma string")
+    rows = clean_with_lemmas(docs, "id", "text", words, ["the", "and"]).collect()
+    assert sorted(map(tuple, rows)) == [(1, "cat"), (1, "cat run"), (2, "")]
