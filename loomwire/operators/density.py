@@ -39,6 +39,11 @@ def _distance(a: str, b: str, dims: int) -> Column:
     return sum((d * d for d in deltas[1:]), deltas[0] * deltas[0])
 
 
+def _nearest(distance: Column, component: Column) -> Column:
+    """Distance, then component as one decimal: the minimum of a struct would sort every pair of a task."""
+    return (distance.cast("decimal(18,0)") * F.lit(str(1 << 63)).cast("decimal(19,0)") + component.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 def _steps(width: int, dims: int, fineness: int) -> Column:
     """Cell offsets in ``width`` dimensions with the least squared distance which they leave."""
     limit = dims * fineness * fineness
@@ -110,8 +115,8 @@ def density_clusters(points: DataFrame, coords: str, dims: int, eps: float, min_
     # remaining points of sparse cells go to the nearest core point within eps
     labelled = near_core.join(components.withColumnRenamed("node", "v"), "v")
     attached = (counted.where(F.col("n") < min_pts).join(pairs, "u").join(labelled, "v").where(within)
-                .groupBy("pid").agg(F.min(F.struct(_distance("p", "q", dims).alias("distance"), "component")).alias("best"))
-                .select("pid", F.col("best.component").alias("component")))
+                .groupBy("pid").agg(F.min(_nearest(_distance("p", "q", dims), F.col("component"))).alias("best"))
+                .select("pid", (F.col("best") % F.lit(str(1 << 63)).cast("decimal(19,0)")).cast("long").alias("component")))
     members = core.join(components, "node").select("pid", "component").unionByName(attached)
     cores = core.select("pid", F.lit(True).alias("core"))
     weighted = written(lattice.join(members, "pid", "left").join(cores, "pid", "left").select(

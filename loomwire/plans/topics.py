@@ -84,9 +84,10 @@ def _nearest_core(unseen: DataFrame, known: DataFrame, dims: int, fineness: int)
     near = cores.select(F.xxhash64(*own).alias("v"), "topic", *[F.col(p).alias(q) for p, q in zip(place, far)])
     found = (asked.withColumn("u", F.xxhash64(*own)).join(pairs, "u").join(near, "v")
              .where(_distance("p", "q", dims) <= limit)
-             .groupBy("_point").agg(F.min(F.struct(_distance("p", "q", dims).alias("d"), "topic")).alias("best")))
+             .groupBy("_point").agg(F.min(F.shiftleft(_distance("p", "q", dims), 32) + F.col("topic")).alias("best")))
+    # distance and topic in one number: the minimum of a struct would sort every pair of a task
     return unseen.join(found, "_point", "left").select(
-        "_point", F.coalesce("best.topic", F.lit(OUTLIER)).cast("int").alias("topic"))
+        "_point", F.coalesce(F.col("best").bitwiseAND(F.lit((1 << 32) - 1)), F.lit(OUTLIER)).cast("int").alias("topic"))
 
 
 def numbered_points(rows: DataFrame, key: str, coords: str, dims: int, eps: float, min_pts: int = 5,

@@ -45,3 +45,12 @@ def test_lemmas_of_a_repeated_key(spark):
     words = spark.createDataFrame([("cats", "cat"), ("dogs", "do"), ("run", None)], "word string, lemma string")
     rows = clean_with_lemmas(docs, "id", "text", words, ["the", "and"]).collect()
     assert sorted(map(tuple, rows)) == [(1, "cat"), (1, "cat run"), (2, "")]
+
+
+def test_nearest_core_without_sort(spark):
+    unseen = spark.createDataFrame([([0, 0, 0],), ([90, 0, 0],)], "_point array<long>")
+    known = spark.createDataFrame([([1, 0, 0], 5, True), ([-1, 0, 0], 3, True), ([2, 0, 0], 0, True)],
+                                  "_point array<long>, topic int, _core boolean")
+    found = _nearest_core(unseen, known, 3, 4)
+    assert "SortAggregate" not in plan(found, "sparkPlan")
+    assert {tuple(r["_point"]): r["topic"] for r in found.collect()} == {(0, 0, 0): 3, (90, 0, 0): -1}
