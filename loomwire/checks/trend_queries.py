@@ -150,16 +150,8 @@ def _folder(spark: SparkSession) -> str:
 
 
 def _landed(spark: SparkSession, rows: DataFrame, folder: str, name: str) -> None:
-    """Rows as one CSV export with the given columns and name."""
-    part = f"{folder}-part-{name}"
-    export_csv(rows.coalesce(1), part)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(part)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(hadoop.Path(folder))
-    for status in fs.listStatus(path):
-        if status.getPath().getName().startswith("part-"):
-            fs.rename(status.getPath(), hadoop.Path(f"{folder}/{name}"))
+    """Rows as a CSV export with the given columns and name, a folder with a part per task."""
+    export_csv(rows, f"{folder}/{name}")
 
 
 def _exports(spark: SparkSession, d: str) -> str:
@@ -190,7 +182,7 @@ def newest_export(spark: SparkSession, d: str) -> DataFrame:
 def archived(spark: SparkSession, d: str) -> DataFrame:
     """What two runs of the archive over the same new files hold: each file once."""
     folder, archive = _exports(spark, d), _folder(spark)
-    before = files.list_files(spark, folder, "h_20240101*.csv")
+    before = files.list_exports(spark, folder, "h_20240101*.csv")
     for _ in range(2):
         archive_new(spark, folder, before, archive, datetime(2024, 1, 3), "h")
     return spark.read.parquet(archive).groupBy("run_day", "source_file").agg(F.count(F.lit(1)).alias("n"))

@@ -6,7 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..sources.files import headers, list_files, read_csv
+from ..sources.files import export_name, export_of_row, headers, list_exports, read_csv
 from ..sources.snapshots import new_since
 
 # How runs and days are named.
@@ -66,14 +66,14 @@ def archive_new(spark: SparkSession, folder: str, before: DataFrame, archive: st
 
     Copies named ``*_latest*`` stay out. Returns the listing of what was archived.
     """
-    files = list_files(spark, folder, f"{prefix}_*.csv").where(~F.contains("name", F.lit("_latest")))
+    files = list_exports(spark, folder, f"{prefix}_*.csv").where(~F.contains("name", F.lit("_latest")))
     fresh = new_since(files, before, ["path"])
     # files of one header are read together; each file is one partition, and storing it again replaces it
     heads = headers(spark, folder, f"{prefix}_*.csv").select("header", F.explode("paths").alias("path"))
-    named = heads.withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1)).join(fresh.select("name"), "name", "left_semi")
+    named = heads.withColumn("name", export_name("path")).join(fresh.select("name"), "name", "left_semi")
     for row in named.groupBy("header").agg(F.collect_list("path").alias("paths")).collect():
         rows = read_csv(spark, row["paths"])
-        (rows.withColumns({"source_file": F.col("_metadata.file_name"), "run_day": F.lit(day.strftime(DAY_NAME))})
+        (rows.withColumns({"source_file": export_of_row(), "run_day": F.lit(day.strftime(DAY_NAME))})
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_day", "source_file")
          .parquet(archive))
     return fresh

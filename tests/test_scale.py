@@ -54,3 +54,21 @@ def test_nearest_core_without_sort(spark):
     found = _nearest_core(unseen, known, 3, 4)
     assert "SortAggregate" not in plan(found, "sparkPlan")
     assert {tuple(r["_point"]): r["topic"] for r in found.collect()} == {(0, 0, 0): 3, (90, 0, 0): -1}
+
+
+def test_export_in_parts(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    rows = spark.range(6).selectExpr("id AS n", "concat('a\nb', id) AS title").repartitionByRange(3, "n")
+    O.export_csv(rows, f"{folder}/h_1.csv")
+    O.export_csv(spark.createDataFrame([("x", 9)], "title string, n long"), f"{folder}/h_2.csv")
+    assert len(list((tmp_path / "in" / "h_1.csv").glob("part-*"))) == 3
+    found = I.all_history(spark, folder, "h", "n long, title string").collect()
+    assert [(r["n"], r["title"]) for r in sorted(found, key=lambda r: (r["source_file"], r["row_ord"]))] == [
+        *[(i, f"a\nb{i}") for i in range(6)], (9, "x")]
+    assert {r["source_file"] for r in found} == {"h_1.csv", "h_2.csv"}
+    assert I.newest(spark, folder, "h").endswith("/h_2.csv") and I.left_out(spark, folder, "h").count() == 0
+    none = spark.createDataFrame([], "path string")
+    fresh = O.archive_new(spark, folder, none, str(tmp_path / "out"), datetime(2024, 1, 2, tzinfo=timezone.utc), "h")
+    assert sorted(r["name"] for r in fresh.collect()) == ["h_1.csv", "h_2.csv"]
+    stored = spark.read.parquet(str(tmp_path / "out")).groupBy("source_file").count()
+    assert {tuple(r) for r in stored.collect()} == {("h_1.csv", 6), ("h_2.csv", 1)}
