@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.text import bigrams
+from ..functions.text import bigrams, each
 
 _GROUP_BITS = 16  # documents, or groups of them, which meet in one window group
 _LEVELS = 4       # of such groups: 4 times 16 bits are all non-negative longs
@@ -26,8 +26,8 @@ def place(doc_ord: Column, pos: Column) -> Column:
 def term_rows(docs: DataFrame, terms: str, doc_ord: str | None = None) -> DataFrame:
     """One row per array element: (term), and its place when a document number is given."""
     if doc_ord is None:
-        return docs.select(F.explode(terms).alias("term"))
-    rows = docs.select(F.col(doc_ord).cast("long").alias("_doc"), F.posexplode(terms).alias("_pos", "term"))
+        return docs.select(F.explode(each(terms)).alias("term"))
+    rows = docs.select(F.col(doc_ord).cast("long").alias("_doc"), F.posexplode(each(terms)).alias("_pos", "term"))
     return rows.select("term", place(F.col("_doc"), F.col("_pos")).alias("seen"))
 
 
@@ -93,23 +93,20 @@ _WORD, _PAIR, _BORDER = 0, 1, 2
 
 def _grouped(docs: DataFrame, tokens: str, doc_ord: str, cross_document: bool, words: bool) -> DataFrame:
     """(term, border, count, first_seen, ord, kind): words, pairs, and a row per document with its outer words."""
-    all_words, doc = F.col(tokens), F.col(doc_ord).cast("long")
-
-    def rows(terms: Column, kind: int) -> Column:
-        return F.transform(terms, lambda term, i: F.struct(
-            term.alias("term"), F.lit(kind).alias("kind"), F.lit(None).cast("long").alias("border"), i.cast("long").alias("pos")))
-
-    found = [rows(bigrams(all_words), _PAIR)]
+    # only texts are exploded: what a row is follows from its place behind the n - 1 pairs and the n words
+    rows = docs.select(F.col(doc_ord).cast("long").alias("_doc"), F.size(tokens).alias("_n"), F.col(tokens).alias("_words"))
+    all_words, n, at = F.col("_words"), F.col("_n"), F.col("_at")
+    found, kind, pos = [bigrams(all_words)], F.when(at < n - 1, _PAIR), F.when(at < n - 1, at)
     if words:
-        found.append(rows(all_words, _WORD))
+        found.append(all_words)
+        kind, pos = kind.when(at < 2 * n - 1, _WORD), pos.when(at < 2 * n - 1, at - (n - 1))
     if cross_document:
-        found.append(F.array(F.struct(
-            F.concat(F.element_at(all_words, 1), F.lit(" "), F.element_at(all_words, -1)).alias("term"),
-            F.lit(_BORDER).alias("kind"), doc.alias("border"), (F.size(all_words) - 1).cast("long").alias("pos"))))
-    exploded = (docs.where(F.size(all_words) > 0)
-                .select(doc.alias("_doc"), F.explode(F.concat(*found)).alias("_row"))
-                .select("_row.term", F.col("_row.kind").alias("_kind"), "_row.border",
-                        place(F.col("_doc"), F.col("_row.pos")).alias("seen")))
+        outer = F.concat(F.element_at(all_words, 1), F.lit(" "), F.element_at(all_words, -1))
+        found.append(F.when(n > 0, F.array(outer)).otherwise(F.array()))
+    exploded = (rows.select("_doc", "_n", F.posexplode(F.concat(*found)).alias("_at", "term"))
+                .select("term", "_doc", kind.otherwise(_BORDER).alias("_kind"),
+                        place(F.col("_doc"), pos.otherwise(n - 1).cast("long")).alias("seen"))
+                .withColumn("border", F.when(F.col("_kind") == _BORDER, F.col("_doc"))))
     # Uses select on the aggregates max(border) and max(kind): a filter on a key would be pushed below the
     # shuffle, and the text would be read and shuffled once for each use.
     return exploded.groupBy("term", "_kind", "border").agg(

@@ -72,3 +72,13 @@ def test_export_in_parts(spark, tmp_path):
     assert sorted(r["name"] for r in fresh.collect()) == ["h_1.csv", "h_2.csv"]
     stored = spark.read.parquet(str(tmp_path / "out")).groupBy("source_file").count()
     assert {tuple(r) for r in stored.collect()} == {("h_1.csv", 6), ("h_2.csv", 1)}
+
+
+def test_texts_are_tokenised_once(spark):
+    docs = spark.createDataFrame([(0, "one two"), (1, ""), (2, "two")], "id long, text string").select(
+        "id", F.lit("t").alias("topic"), T.tokens_strip("text").alias("tokens"))
+    pairs = C.pair_counts(docs, "tokens", "id")
+    assert plan(pairs).count("split(lower(") == 1
+    assert plan(C.term_counts(docs, "tokens")).count("split(lower(") == 1
+    both = [{r["term"]: r["count"] for r in df.collect()} for df in C.word_and_pair_counts(docs, "tokens", "id", True)]
+    assert both == [{"one": 1, "two": 2}, {"one two": 1, "two two": 1}]
