@@ -11,6 +11,8 @@ from pyspark.ml.feature import PCA, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import constant_strings, each
+
 
 def word_codes(tokens: Column | str, dims: int) -> Column:
     """For each word 2 x bucket + sign, taken from its MD5 digest."""
@@ -88,9 +90,15 @@ def fit_text_vectors(docs: DataFrame, tokens: str, min_df: float = 0.05, most_te
     ``most_terms`` bounds the vocabulary, which every task holds; it is meant to exceed the terms that pass ``min_df``,
     so that the vocabulary does not depend on ties at the cut.
     """
-    from pyspark.ml.feature import IDF, CountVectorizer
-
-    stages = [CountVectorizer(inputCol=tokens, outputCol="_tf", minDF=min_df, vocabSize=most_terms),
+    from pyspark.ml.feature import IDF, CountVectorizerModel
+
+    # the terms come from aggregates: CountVectorizer would hold the words of all documents in the executors' memory
+    in_docs = docs.select(F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    least = min_df if min_df >= 1 else min_df * docs.count()
+    counts = docs.select(F.explode(each(tokens)).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
+    terms = in_docs.where(F.col("df") >= least).join(counts, "term").orderBy(F.desc("n"), "term").limit(most_terms)
+    vocabulary = [r["term"] for r in terms.select("term").collect()]
+    stages = [CountVectorizerModel.from_vocabulary(vocabulary, inputCol=tokens, outputCol="_tf"),
               IDF(inputCol="_tf", outputCol="_tfidf"), Normalizer(inputCol="_tfidf", outputCol="_unit", p=2.0)]
     return Pipeline(stages=stages).fit(docs.select(tokens))
 
@@ -101,9 +109,8 @@ def text_vectors(model: PipelineModel, docs: DataFrame, tokens: str, output: str
 
 
 def vector_terms(model: PipelineModel, vectors: DataFrame, key: str, vector: str = "embedding") -> DataFrame:
-    """(key, term, weight) of the non-zero places of fitted vectors; the vocabulary is a small dimension table."""
-    vocabulary = model.stages[0].vocabulary
-    spark = vectors.sparkSession
-    terms = spark.createDataFrame(list(enumerate(vocabulary)), "place int, term string")
+    """(key, term, weight) of the non-zero places of fitted vectors. The vocabulary is a constant of the plan: a join by
+    place would send all rows of a frequent term to one task."""
+    terms = constant_strings(model.stages[0].vocabulary)
     places = vectors.select(key, F.posexplode(vector).alias("place", "weight")).where(F.col("weight") != 0)
-    return places.join(terms, "place").select(key, "term", F.col("weight").cast("double").alias("weight"))
+    return places.select(key, F.get(terms, F.col("place")).alias("term"), F.col("weight").cast("double").alias("weight"))

@@ -82,3 +82,12 @@ def test_texts_are_tokenised_once(spark):
     assert plan(C.term_counts(docs, "tokens")).count("split(lower(") == 1
     both = [{r["term"]: r["count"] for r in df.collect()} for df in C.word_and_pair_counts(docs, "tokens", "id", True)]
     assert both == [{"one": 1, "two": 2}, {"one two": 1, "two two": 1}]
+
+
+def test_vector_terms_without_join(spark):
+    docs = spark.createDataFrame([(1, ["a", "b"]), (2, ["a", "c", "c"]), (3, ["b"])], "id long, t array<string>")
+    model = fit_text_vectors(docs, "t", 2)
+    assert model.stages[0].vocabulary == ["a", "b"]
+    found = vector_terms(model, text_vectors(model, docs, "t"), "id")
+    assert "Join" not in plan(found)
+    assert {(r["id"], r["term"]) for r in found.collect()} == {(1, "a"), (1, "b"), (2, "a"), (3, "b")}
