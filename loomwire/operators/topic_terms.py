@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.text import each
+
 
 def _ranked(df: DataFrame, per: str, order: list, n: int) -> DataFrame:
     """First n rows per group; Spark applies the limit before the shuffle as well."""
@@ -24,10 +26,10 @@ def topic_sizes(articles: DataFrame) -> DataFrame:
 def term_weights(docs: DataFrame, topic: str, tokens: str) -> DataFrame:
     """(topic, term, tf, weight) for every term of every topic; documents without a topic take no part.
 
-    The tokens are exploded and shuffled once: all branches filter alike, so they share the counts.
+    The tokens are exploded and shuffled once: all branches filter alike, so they share the counts. Null tokens are no terms.
     """
-    counts = (docs.where(F.col(topic).isNotNull()).select(F.col(topic).alias("topic"), F.explode(tokens).alias("term"))
-              .groupBy("topic", "term").agg(F.count(F.lit(1)).alias("tf")))
+    counts = (docs.where(F.col(topic).isNotNull()).select(F.col(topic).alias("topic"), F.explode(each(tokens)).alias("term"))
+              .where(F.col("term").isNotNull()).groupBy("topic", "term").agg(F.count(F.lit(1)).alias("tf")))
     lengths = counts.groupBy("topic").agg(F.sum("tf").alias("len"))
     totals = counts.groupBy("term").agg(F.sum("tf").alias("total"))
     mean = lengths.agg((F.sum("len") / F.count(F.lit(1))).alias("mean")).scalar()

@@ -84,6 +84,15 @@ def test_texts_are_tokenised_once(spark):
     assert both == [{"one": 1, "two": 2}, {"one two": 1, "two two": 1}]
 
 
+def test_topic_counts_are_shared(spark):
+    docs = spark.createDataFrame([("a", "one two"), ("b", "two")], "topic string, text string").select(
+        "topic", T.tokens_strip("text").alias("tokens"))
+    assert "size(" not in plan(TT.topic_terms(docs, "topic", "tokens"))  # else texts are tokenised for it
+    nulls = spark.createDataFrame([("a", ["one", None, "two"])], "topic string, tokens array<string>")
+    text = plan(TT.topic_terms(nulls, "topic", "tokens"))
+    assert text.count("isnotnull(term") >= text.count("Generate explode")  # all branches filter alike
+
+
 def test_vector_terms_without_join(spark):
     docs = spark.createDataFrame([(1, ["a", "b"]), (2, ["a", "c", "c"]), (3, ["b"])], "id long, t array<string>")
     model = fit_text_vectors(docs, "t", 2)
