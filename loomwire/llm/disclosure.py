@@ -33,6 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import written
+from .tokens import by_bytes
 from .words import codes, split_words
 
 KINDS = ("email", "ip", "card", "phone")
@@ -129,6 +130,7 @@ def context(text: str, spans: list[tuple[str, int, int]], reach: int) -> Iterato
 
 SPANS = "doc_id long, row long, base array<struct<kind:string,start:int,end:int>>"
 SLICE = 128  # documents marked at a time
+COUNTED = 4 << 20  # bytes of text whose words are counted at a time
 PARTS = ("array<struct<entities:array<binary>,terms:array<struct<term:string,"
          "at:array<struct<start:int,end:int>>>>>>")
 
@@ -173,9 +175,10 @@ def _marked(docs: DataFrame, reach: int | None) -> DataFrame:
 
 
 def _term_documents(docs: DataFrame) -> DataFrame:
-    """(term, n): documents with the term, a row per batch of documents; n adds up."""
+    """(term, n): documents with the term, a row per few megabytes of documents; n adds up."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # small slices here as well: the words of a batch take many times its size
+        for batch in (part for b in batches for part in by_bytes(b, 0, COUNTED)):
             texts = pc.utf8_lower(pc.fill_null(batch.column(0), ""))
             # anything that is no letter parts words; digits and underscores part them as well
             flat, bounds = split_words(pc.replace_substring_regex(texts, r"[^\pL]+", " "))

@@ -100,3 +100,9 @@ def test_vector_terms_without_join(spark):
     found = vector_terms(model, text_vectors(model, docs, "t"), "id")
     assert "Join" not in plan(found)
     assert {(r["id"], r["term"]) for r in found.collect()} == {(1, "a"), (1, "b"), (2, "a"), (3, "b")}
+
+
+def test_words_are_counted_in_slices(spark):
+    long = "same words " * 500_000
+    docs = spark.createDataFrame([(long,), (long,)], "text string").coalesce(1)
+    assert sorted(map(tuple, _term_documents(docs).collect())) == [("same", 1)] * 2 + [("words", 1)] * 2
