@@ -6,7 +6,8 @@ k nearest of its old neighbours and new candidates. The round ends when fewer th
 
 Bounds: a list holds k forward neighbours and reverse ones kept with probability min(1, rho * k / in-degree), so its
 expected length is at most (1 + rho) * k whatever the hubs; distances of a list's pairs are computed in one task from
-the vectors attached to it (one join). The best k of a node's candidates are chosen in two steps over hash slices of
+the vectors attached to it (one join), and only pairs go out that are among a node's k nearest of the list and not beyond
+its k-th distance so far. The best k of a node's candidates are chosen in two steps over hash slices of
 the candidates, so no task holds all candidates of a hub. The start graph comes from random projections: in each of
 ``tables`` tables a node's bucket is the signs of ``bits`` projections on random directions (less their medians);
 one more table puts all nodes in one bucket; buckets are cut by hash into chunks of about ``chunk`` nodes and all
@@ -29,6 +30,9 @@ from pyspark.sql import DataFrame, functions as F
 from ..session import written
 
 
+_SLACK = 1e-9  # the same pair's distance may differ by rounding from list to list
+
+
 def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     if metric == "cosine":
         return np.clip(1.0 - a @ b.T, 0.0, 2.0)
@@ -36,18 +40,28 @@ def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0))
 
 
+def _projections(batches: Iterator[pd.DataFrame], directions: np.ndarray) -> Iterator[pd.DataFrame]:
+    """(id, v, p): the products of each vector with the directions, summed from the first place to the last."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        vectors = np.stack(batch["v"].to_numpy())
+        p = np.zeros((len(batch), len(directions)))
+        for column, weights in zip(vectors.T, directions.T):
+            p += column[:, None] * weights
+        yield pd.DataFrame({"id": batch["id"], "v": batch["v"], "p": list(p)})
+
+
 def _start(nodes: DataFrame, dims: int, tables: int, bits: int, chunk: int, seed: int) -> DataFrame:
     """(w, x, vx): chunks of random-projection buckets, as lists for the local join."""
     rng = np.random.default_rng(seed)
     directions = rng.standard_normal((tables * bits, dims))
-    dots = [F.aggregate(F.zip_with("v", F.array(*[F.lit(float(c)) for c in g]), lambda a, b: a * b), F.lit(0.0),
-                        lambda acc, t: acc + t).alias(f"p{i}") for i, g in enumerate(directions)]
-    projected = nodes.select("id", "v", *dots)
-    medians = projected.agg(*[F.percentile_approx(f"p{i}", 0.5, 1000).alias(f"p{i}")
+    projected = written(nodes.mapInPandas(lambda it: _projections(it, directions), "id long, v array<double>, p array<double>"))
+    medians = projected.agg(*[F.percentile_approx(F.get("p", F.lit(i)), 0.5, 1000).alias(f"p{i}")
                               for i in range(len(directions))]).first()
     found = []
     for t in range(tables):
-        signs = [F.when(F.col(f"p{i}") > F.lit(float(medians[f"p{i}"] or 0.0)), 1 << (i - t * bits)).otherwise(0)
+        signs = [F.when(F.get("p", F.lit(i)) > F.lit(float(medians[f"p{i}"] or 0.0)), 1 << (i - t * bits)).otherwise(0)
                  for i in range(t * bits, (t + 1) * bits)]
         found.append(projected.select("id", "v", F.lit(t).alias("t"), sum(signs[1:], signs[0]).alias("b")))
     # and one table of random chunks, so that every node has candidates however the projections fall
@@ -61,8 +75,12 @@ def _start(nodes: DataFrame, dims: int, tables: int, bits: int, chunk: int, seed
     return cut.select(F.xxhash64("t", "b", "c").alias("w"), F.col("id").alias("x"), F.col("v").alias("vx"))
 
 
-def _local_join(batches: Iterator[pd.DataFrame], metric: str) -> Iterator[pd.DataFrame]:
-    """All pairs inside each node's list (rows sorted by list owner), with distances."""
+def _local_join(batches: Iterator[pd.DataFrame], metric: str, k: int) -> Iterator[pd.DataFrame]:
+    """The pairs inside each node's list (rows sorted by list owner) that may be among the k nearest, with distances.
+
+    All pairs are computed. For a node the k nearest of its list go out, and of these none beyond ``bound``, its k-th
+    distance so far (null: none yet): what is left out has k nearer ones, so it cannot be chosen.
+    """
     for batch in batches:
         if not len(batch):
             continue
@@ -74,7 +92,13 @@ def _local_join(batches: Iterator[pd.DataFrame], metric: str) -> Iterator[pd.Dat
                 continue
             vectors = np.stack(batch["vx"].to_numpy()[group])
             d = _distances(vectors, vectors, metric)
-            i, j = np.nonzero(ids[:, None] != ids[None, :])
+            usable = ids[:, None] != ids[None, :]
+            if "bound" in batch:
+                bound = batch["bound"].to_numpy(dtype=float)[group][:, None]
+                usable &= ~(d > bound + _SLACK)  # a missing bound passes
+            if len(ids) > k + 1:
+                usable &= d <= np.partition(np.where(usable, d, np.inf), k - 1, axis=1)[:, k - 1:k] + _SLACK
+            i, j = np.nonzero(usable)
             yield pd.DataFrame({"u": ids[i], "v": ids[j], "d": d[i, j]})
 
 
@@ -120,7 +144,7 @@ def knn_graph(points: DataFrame, key: str, vector: str, k: int = 15, metric: str
     bits = max(1, int(np.log2(max(n / chunk, 1))))
     lists = _start(nodes, dims, tables, bits, chunk, seed)
     start = (lists.repartition("w").sortWithinPartitions("w")
-             .mapInPandas(lambda it: _local_join(it, metric), "u long, v long, d double"))
+             .mapInPandas(lambda it: _local_join(it, metric, k), "u long, v long, d double"))
     graph = written(_best(start, k))
     for step in range(rounds):
         indegree = graph.groupBy(F.col("v").alias("w")).agg(F.count("*").alias("indegree"))
@@ -130,9 +154,10 @@ def knn_graph(points: DataFrame, key: str, vector: str, k: int = 15, metric: str
             F.col("v").alias("w"), F.col("u").alias("x"))
         lists = graph.select(F.col("u").alias("w"), F.col("v").alias("x")).unionByName(reverse)
         lists = lists.distinct()
-        attached = lists.join(nodes.select(F.col("id").alias("x"), F.col("v").alias("vx")), "x")
-        candidates = (attached.repartition("w").sortWithinPartitions("w")
-                      .mapInPandas(lambda it: _local_join(it, metric), "u long, v long, d double"))
+        bounds = graph.where(F.col("rank") == k).select(F.col("u").alias("x"), F.col("d").alias("bound"))
+        bounded = nodes.select(F.col("id").alias("x"), F.col("v").alias("vx")).join(bounds, "x", "left")
+        candidates = (lists.join(bounded, "x").repartition("w").sortWithinPartitions("w")
+                      .mapInPandas(lambda it: _local_join(it, metric, k), "u long, v long, d double"))
         fresh = written(_best(candidates.unionByName(graph.select("u", "v", "d")), k))
         changed = fresh.join(graph, ["u", "v"], "left_anti").count()
         graph = fresh
