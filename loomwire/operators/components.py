@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import written
+from ..session import in_tasks, written
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
     """Edges (u, v) with the least neighbour m of u, or u itself. The minimum is combined before
     the shuffle; the join splits a hot u at run time since one side has a single row per u."""
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return edges.join(least, "u")
+    return edges.join(in_tasks(least), "u")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -46,5 +46,5 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 1
     else:
         raise RuntimeError(f"components not stable after {max_rounds} rounds")
     stars = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return (nodes.select("node").join(stars, "node", "left")
+    return (nodes.select("node").join(in_tasks(stars), "node", "left")
             .select("node", F.coalesce("component", "node").alias("component")))

@@ -9,6 +9,7 @@ No step lists all pairs of a group of points:
 * Copies and close points are one weighted lattice point, combined before the shuffle.
 * Lattice points lie in cells of side eps / sqrt(k), at most m^k of them per cell whatever the data,
   all within eps of each other. A cell with min_pts points is all core without any test.
+* Tables of points, cells and pairs are joined in the tasks: none is broadcast through the driver.
 * Neighbouring cells are found by equi-joins, two dimensions at a time, along occupied prefixes only.
 """
 
@@ -18,7 +19,7 @@ import itertools
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import written
+from ..session import in_tasks, written
 from .components import connected_components
 
 
@@ -71,9 +72,9 @@ def neighbour_cells(cells: DataFrame, dims: int, fineness: int) -> DataFrame:
                  .where(F.col("_gap") <= limit))
         if start + width < dims:
             occupied = cells.select(*[F.col(c).alias(n) for c, n in zip(own, done)]).distinct()
-            pairs = pairs.join(occupied, done, "left_semi")
+            pairs = pairs.join(in_tasks(occupied), done, "left_semi")
     target = cells.select(F.col("node").alias("v"), *[F.col(c).alias(n) for c, n in zip(own, near)])
-    return pairs.join(target, near).select("u", "v")
+    return pairs.join(in_tasks(target), near).select("u", "v")
 
 
 def density_clusters(points: DataFrame, coords: str, dims: int, eps: float, min_pts: int = 5,
@@ -92,7 +93,7 @@ def density_clusters(points: DataFrame, coords: str, dims: int, eps: float, min_
     lattice = written(numbered.withColumns({"node": F.min("pid").over(in_cell),
                                             "cell_weight": F.sum("weight").over(in_cell)}))
     cells = lattice.where("node = pid")
-    pairs = written(neighbour_cells(cells.select("node", *own), dims, fineness))
+    pairs = in_tasks(written(neighbour_cells(cells.select("node", *own), dims, fineness)))
     within = _distance("p", "q", dims) <= limit
 
     # core points: all of a dense cell; of a sparse cell (fewer than min_pts points) by counting
@@ -100,28 +101,28 @@ def density_clusters(points: DataFrame, coords: str, dims: int, eps: float, min_
     sparse = lattice.where(is_sparse).select("pid", F.col("node").alias("u"), *place)
     around = lattice.select(F.col("node").alias("v"), F.col("weight").alias("near_weight"),
                             *[F.col(p).alias(q) for p, q in zip(place, far)])
-    counted = written(sparse.join(pairs, "u").join(around, "v").where(within)
+    counted = written(sparse.join(pairs, "u").join(in_tasks(around), "v").where(within)
                       .groupBy("pid", "u", *place).agg(F.sum("near_weight").alias("n")))
     core = lattice.where(~is_sparse).select("pid", "node", *place).unionByName(
         counted.where(F.col("n") >= min_pts).select("pid", F.col("u").alias("node"), *place))
 
     # cells are joined when any two of their core points are within eps
     near_core = core.select(F.col("node").alias("v"), *[F.col(p).alias(q) for p, q in zip(place, far)])
-    edges = (core.withColumnRenamed("node", "u").join(pairs.where("u < v"), "u").join(near_core, "v")
+    edges = (core.withColumnRenamed("node", "u").join(pairs.where("u < v"), "u").join(in_tasks(near_core), "v")
              .where(within).select("u", "v").distinct())
     nodes = core.select("node").distinct()
     components = connected_components(nodes, edges)
 
     # remaining points of sparse cells go to the nearest core point within eps
-    labelled = near_core.join(components.withColumnRenamed("node", "v"), "v")
-    attached = (counted.where(F.col("n") < min_pts).join(pairs, "u").join(labelled, "v").where(within)
+    labelled = near_core.join(in_tasks(components.withColumnRenamed("node", "v")), "v")
+    attached = (counted.where(F.col("n") < min_pts).join(pairs, "u").join(in_tasks(labelled), "v").where(within)
                 .groupBy("pid").agg(F.min(_nearest(_distance("p", "q", dims), F.col("component"))).alias("best"))
                 .select("pid", (F.col("best") % F.lit(str(1 << 63)).cast("decimal(19,0)")).cast("long").alias("component")))
-    members = core.join(components, "node").select("pid", "component").unionByName(attached)
+    members = core.join(in_tasks(components), "node").select("pid", "component").unionByName(attached)
     cores = core.select("pid", F.lit(True).alias("core"))
-    weighted = written(lattice.join(members, "pid", "left").join(cores, "pid", "left").select(
+    weighted = written(lattice.join(in_tasks(members), "pid", "left").join(in_tasks(cores), "pid", "left").select(
         "weight", "component", F.array(*place).alias("point"), F.coalesce("core", F.lit(False)).alias("core")))
     sizes = (weighted.where(F.col("component").isNotNull()).groupBy("component")
              .agg(F.sum("weight").alias("size")).where(F.col("size") >= min_cluster_size)
              .select("component", F.col("component").alias("cluster")))
-    return weighted.join(sizes, "component", "left").select("point", "cluster", "core")
+    return weighted.join(in_tasks(sizes), "component", "left").select("point", "cluster", "core")

@@ -15,7 +15,7 @@ from ..operators.ordering import with_index
 from ..operators.topic_terms import representative_docs, term_lists, topic_names, topic_terms
 from ..operators.vectors import fit_reduction, hashed_embedding, reduce_dims
 from ..schemas import CLUSTERED_COLUMNS, keep_columns
-from ..session import written
+from ..session import in_tasks, written
 
 OUTLIER = -1
 
@@ -62,9 +62,9 @@ def assign_points(rows: DataFrame, coords: str, points: DataFrame, dims: int, ep
     placed = rows.withColumn("_point", lattice_point(coords, dims, eps, fineness))
     core = F.col("core") if "core" in points.columns else F.col("topic") != OUTLIER
     known = points.select(F.col("point").alias("_point"), "topic", core.alias("_core"))
-    unseen = placed.select("_point").distinct().join(known, "_point", "left_anti")
+    unseen = placed.select("_point").distinct().join(in_tasks(known), "_point", "left_anti")
     topics = known.select("_point", "topic").unionByName(_nearest_core(unseen, known, dims, fineness))
-    return (placed.join(topics, "_point", "left").drop("_point")
+    return (placed.join(in_tasks(topics), "_point", "left").drop("_point")
             .withColumn("topic", F.coalesce("topic", F.lit(OUTLIER))))
 
 
@@ -82,11 +82,11 @@ def _nearest_core(unseen: DataFrame, known: DataFrame, dims: int, fineness: int)
     cells = asked.select(*own).unionByName(cores.select(*own)).distinct().withColumn("node", F.xxhash64(*own))
     pairs = neighbour_cells(cells.select("node", *own), dims, fineness)
     near = cores.select(F.xxhash64(*own).alias("v"), "topic", *[F.col(p).alias(q) for p, q in zip(place, far)])
-    found = (asked.withColumn("u", F.xxhash64(*own)).join(pairs, "u").join(near, "v")
+    found = (asked.withColumn("u", F.xxhash64(*own)).join(in_tasks(pairs), "u").join(in_tasks(near), "v")
              .where(_distance("p", "q", dims) <= limit)
              .groupBy("_point").agg(F.min(F.shiftleft(_distance("p", "q", dims), 32) + F.col("topic")).alias("best")))
     # distance and topic in one number: the minimum of a struct would sort every pair of a task
-    return unseen.join(found, "_point", "left").select(
+    return unseen.join(in_tasks(found), "_point", "left").select(
         "_point", F.coalesce(F.col("best").bitwiseAND(F.lit((1 << 32) - 1)), F.lit(OUTLIER)).cast("int").alias("topic"))
 
 
@@ -96,10 +96,10 @@ def numbered_points(rows: DataFrame, key: str, coords: str, dims: int, eps: floa
     clusters = density_clusters(rows, coords, dims, eps, min_pts, min_cluster_size, fineness)
     per_point = (rows.select(lattice_point(coords, dims, eps, fineness).alias("point"), F.col(key).alias("_key"))
                  .groupBy("point").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("first")))
-    sizes = (clusters.where(F.col("cluster").isNotNull()).join(per_point, "point").groupBy("cluster")
+    sizes = (clusters.where(F.col("cluster").isNotNull()).join(in_tasks(per_point), "point").groupBy("cluster")
              .agg(F.sum("n").alias("n"), F.min("first").alias("first")))
     numbers = with_index(sizes, [F.desc("n"), F.col("first")], "topic").select("cluster", "topic")
-    return (clusters.join(numbers, "cluster", "left")
+    return (clusters.join(in_tasks(numbers), "cluster", "left")
             .select("point", F.coalesce("topic", F.lit(OUTLIER)).cast("int").alias("topic"), "core"))
 
 

@@ -162,3 +162,20 @@ def test_topic_name_takes_four_terms(spark):
 def test_written_tables_are_stable(spark):
     df = written(spark.range(100).withColumn("r", F.rand()))
     assert df.collect() == df.collect() and df.schema["id"].dataType.simpleString() == "bigint"
+
+
+def test_no_table_of_points_is_broadcast(spark):
+    """Points, cells and components grow with the input; Spark would send such small tables through the driver."""
+    from loomwire.operators.density import neighbour_cells
+
+    def plan(df):
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    cells = spark.createDataFrame([(i, i % 5, i // 5, 0) for i in range(25)], "node long, c0 long, c1 long, c2 long")
+    pairs = neighbour_cells(cells, 3, 4)
+    assert "Broadcast" not in plan(pairs) and pairs.count() > 25
+    rows = spark.createDataFrame([(i, [0.01 * (i % 9), 0.01 * (i // 9)]) for i in range(90)], "id long, coords array<double>")
+    points = written(numbered_points(rows, "id", "coords", 2, 0.06))
+    moved = rows.withColumn("coords", F.transform("coords", lambda x: x + 0.008))
+    assert "Broadcast" not in plan(assign_points(moved, "coords", points, 2, 0.06, 4).select("id", "topic"))
