@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import written
+from ..session import in_tasks, written
 from .words import SPACE
 
 SHORT, LONG = 4, 12  # words at either end which a copy shares
@@ -75,10 +75,29 @@ def _neighbours(distinct: DataFrame, least_words: int) -> DataFrame:
     ends = able.select("place", F.posexplode(F.array(*[f"end{i}" for i in range(4)])).alias("side", "hash")).where(
         "hash IS NOT NULL")
     shared = ends.groupBy("hash", "side").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("hash", "side")
-    return (ends.join(shared, ["hash", "side"], "left_semi").select("place")
+    return (ends.join(in_tasks(shared), ["hash", "side"], "left_semi").select("place")
             .unionByName(able.where(F.col("n") < 2 * SHORT).select("place")).distinct())
 
 
+MAP_BITS, MAPS = 15, 2048  # bits of one bitmap as a power of two, and the most bitmaps: 8 MB together
+
+
+def _among(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """rows without most of those that have no equal in wanted, a written table of their key.
+
+    A bitmap of the keys' hashes, 16 bits a key and 8 MB at most, goes to all tasks, so rows that the join to follow
+    would drop are dropped before its shuffle. Rows of wanted keys all stay; a full bitmap lets more others through.
+    """
+    key, = wanted.columns
+    maps = min(max(wanted.count() * 16 >> MAP_BITS, 1), MAPS)
+    place = F.pmod(F.xxhash64(key), F.lit(maps << MAP_BITS))
+    at = {"_map": F.shiftright(place, MAP_BITS), "_bit": place.bitwiseAND((1 << MAP_BITS) - 1)}
+    bitmaps = wanted.withColumns(at).repartition("_map").groupBy("_map").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", (F.shiftright("_bit", 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = rows.withColumns(at).join(F.broadcast(bitmaps), "_map")
+    return marked.where(F.getbit(byte, F.col("_bit").bitwiseAND(7).cast("int")) == 1).select(*rows.columns)
+
+
 def _pair(a: Column, b: Column) -> Column:
     """Hash of two neighbouring words, 40 bits so that a line's sum fits; null stands beyond the ends."""
     return F.shiftrightunsigned(F.xxhash64(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))), 24)
@@ -86,10 +105,11 @@ def _pair(a: Column, b: Column) -> Column:
 
 def _candidates(lines: DataFrame, distinct: DataFrame, least_words: int) -> DataFrame:
     """id (in the order of places), place, w and sum of the lines whose variants are made."""
-    wanted = _neighbours(distinct, least_words)
-    texts = lines.select(_place(F.col("doc_id"), F.col("line")), "content").join(wanted, "place").dropDuplicates(["place"])
-    ordered = written(texts.repartitionByRange("place").sortWithinPartitions("place").select(
-        F.monotonically_increasing_id().alias("id"), "place", line_words(F.col("content")).alias("w")))
+    wanted = written(_neighbours(distinct, least_words))
+    texts = _among(lines.select(_place(F.col("doc_id"), F.col("line")), "content"), wanted)
+    texts = texts.join(in_tasks(wanted), "place").dropDuplicates(["place"])
+    ordered = texts.repartitionByRange("place").sortWithinPartitions("place").select(
+        F.monotonically_increasing_id().alias("id"), "place", line_words(F.col("content")).alias("w"))
     inner = F.transform("w", lambda x, i: _pair(x, F.get("w", i + 1)))
     total = F.aggregate(inner, _pair(F.lit(None), F.get("w", F.lit(0))), lambda a, x: a + x)
     return written(ordered.select("*", total.alias("total")))
@@ -120,8 +140,8 @@ def _within_one(a: str, b: str) -> Column:
 
 
 def _verified(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Pairs (id, first) with ok: whether the lines are copies."""
-    words = candidates.select("id", "w")
+    """Pairs (id, first), a written table, with ok: whether the lines are copies."""
+    words = _among(candidates.select("id", "w"), written(pairs.select(F.explode(F.array("id", "first")).alias("id")).distinct()))
     both = pairs.join(words, "id").join(words.toDF("first", "w2"), "first")
     return both.select("id", "first", _within_one("w", "w2").alias("ok"))
 
@@ -132,7 +152,7 @@ def _near(lines: DataFrame, distinct: DataFrame, least_words: int) -> DataFrame:
     variants = _variants(candidates)
     # most keys belong to one line: a count by key leaves few variants to work with
     busy = variants.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    variants_of = written(variants.join(busy, "key", "left_semi"))
+    variants_of = written(variants.join(in_tasks(busy), "key", "left_semi"))
     same_place = variants_of.groupBy("key", "i").agg(F.min("id").alias("first"))
     whole = F.min(F.when(F.col("i") < 0, F.col("id"))).alias("whole")
     part = F.min(F.when(F.col("i") >= 0, F.col("id"))).alias("part")
@@ -140,14 +160,14 @@ def _near(lines: DataFrame, distinct: DataFrame, least_words: int) -> DataFrame:
     target = F.when(F.col("i") < 0, F.col("part")).otherwise(F.least("first", "whole"))
     shared = same_place.join(any_place, "key").select("key", "i", target.alias("first")).where("first IS NOT NULL")
     matches = written(variants_of.join(shared, ["key", "i"]).where("first < id").select("key", "id", "first"))
-    tested = written(_verified(matches.select("id", "first").distinct(), candidates))
+    tested = written(_verified(written(matches.select("id", "first").distinct()), candidates))
     good = tested.where("ok").select("id")
     doubtful = tested.where("NOT ok").select("id", "first").join(good, "id", "left_anti")
     if not doubtful.isEmpty():
         bad = matches.join(doubtful, ["id", "first"]).select("key", "id").distinct()
         others = variants_of.select("key", F.col("id").alias("first")).join(bad.select("key").distinct(), "key", "left_semi")
         pairs = bad.join(others.distinct(), "key").where("first < id").select("id", "first").distinct()
-        good = good.unionByName(_verified(pairs, candidates).where("ok").select("id"))
+        good = good.unionByName(_verified(written(pairs), candidates).where("ok").select("id"))
     return candidates.select("id", "place").join(good.distinct(), "id", "left_semi").select("place")
 
 

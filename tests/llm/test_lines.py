@@ -129,3 +129,13 @@ def test_verification(spark):
     df = spark.createDataFrame(pairs, "a array<string>, b array<string>").select("a", "b", line_dedup._within_one("a", "b").alias("ok"))
     for r in rows_of(df):
         assert r["ok"] == within_one(r["a"], r["b"]), r
+
+
+def test_few_lines_move_to_a_join_that_keeps_few(spark, monkeypatch):
+    rows = spark.range(100_000).selectExpr("id AS place", "cast(id AS string) AS content")
+    wanted = spark.range(0, 100_000, 50).toDF("place")
+    found = {r["place"] for r in line_dedup._among(rows, wanted).collect()}
+    assert found >= set(range(0, 100_000, 50)) and len(found) < 20_000
+    assert line_dedup._among(rows, wanted.limit(0)).count() == 0
+    monkeypatch.setattr(line_dedup, "MAPS", 1)  # a full bitmap
+    assert line_dedup._among(rows, spark.range(0, 100_000, 2).toDF("place")).where("place % 2 = 0").count() == 50_000
