@@ -15,7 +15,8 @@ bands; documents with an equal band are candidates. A bucket is worked off in tw
 After that any two members of a bucket are in one component or have been compared: by their set sizes, by sketches of one
 bit per place, where agreement within 5 or 6 standard deviations of the similarity asked for passes, and at last by the
 full shingle sets, which decide. Most copies join in the first rounds, so the third has few rows to work with; its
-pairs are tested on fine sketches inside the join, before a row is made.
+pairs are tested inside the join, before a row is made: by the parities of hash bins, whose differing bits never outnumber
+the elements that only one of two sets has, so no link is lost; and sets too large for the bins by fine sketches.
 
 Defined results: a document without words has an empty set and is alone; one with fewer than n words has its word sequence as
 only shingle; rows with the same id are one node and give a row each; rows with a null id are alone, component null, kept.
@@ -29,7 +30,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.components import connected_components
 from ..session import written
@@ -45,7 +46,8 @@ class Near:
     places: int = 256
     rows: int = 5  # places per band; a pair at 75 percent misses all 51 bands once in a million
 
-    fine: int = 2048  # places of the fine sketch, which only documents of open buckets get
+    fine: int = 2048  # bins of the parities and places of the fine sketch, which only documents of open buckets get
+    few: int = 1024  # sets up to this size are compared by parities, larger ones by fine sketches
     spread: int = 16  # members of a component that stand for it in the second round
 
     def least_agreeing(self, bits: int, places: int, deviations: float) -> int:
@@ -206,9 +208,21 @@ def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return connected_components(nodes.select(F.col("id").alias("node")), _merge_local(edges)).toDF("id", "component")
 
 
+def parities(elements: np.ndarray, bounds: np.ndarray, bins: int) -> np.ndarray:
+    """For each set of 64-bit elements, whether each of so many bins has an odd number of them."""
+    n = len(bounds) - 1
+    owner = np.repeat(np.arange(n), np.diff(bounds))
+    at = owner * bins + (mixed(elements + _GOLDEN) % np.uint64(bins)).astype(np.int64)
+    return np.bincount(at, minlength=n * bins).reshape(n, bins) % 2 == 1
+
+
 def _fine(texts: DataFrame, near: Near) -> DataFrame:
-    """id, n and one bit of each of many places of every text (id, plain), 64 to a column."""
-    width = near.fine // 64
+    """id, n, exact and bits, 64 to a column, of every text (id, plain).
+
+    exact: parities, of sets up to near.few. Not exact: a bit of each of many places, of sets that may be similar to one
+    above near.few. Sets a little below it have a row of each.
+    """
+    names = [f"b{i}" for i in range(near.fine // 64)]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -216,12 +230,29 @@ def _fine(texts: DataFrame, near: Near) -> DataFrame:
                 part = batch.slice(at, 100)
                 sets = _sets(part.column(1), near.words)
                 size = np.fromiter(map(len, sets), np.int64, len(sets))
-                found = mixed(signatures(np.concatenate(sets), np.concatenate(([0], np.cumsum(size))), width * 64))
-                bits = np.packbits(found & np.uint64(1) == 1, axis=1).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(size), *map(pa.array, bits.T.copy())],
-                                                 ["id", "n", *[f"b{i}" for i in range(width)]])
-
-    return texts.mapInArrow(sign, "id long, n long, " + ", ".join(f"b{i} long" for i in range(width)))
+                for exact, some in (True, size <= near.few), (False, size * 100 > near.few * near.percent):
+                    if not some.any():
+                        continue
+                    elements = np.concatenate([x for x, ok in zip(sets, some) if ok])
+                    bounds = np.concatenate(([0], np.cumsum(size[some])))
+                    bits = (parities(elements, bounds, near.fine) if exact
+                            else mixed(signatures(elements, bounds, near.fine)) & np.uint64(1) == 1)
+                    packed = np.packbits(bits, axis=1).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).filter(pa.array(some)), pa.array(size[some]),
+                         pa.array(np.full(len(packed), exact)), *map(pa.array, packed.T.copy())],
+                        ["id", "n", "exact", *names])
+
+    return texts.mapInArrow(sign, "id long, n long, exact boolean, " + ", ".join(f"{c} long" for c in names))
+
+
+def _may_link(near: Near) -> Column:
+    """Whether the sets of two documents, the second one's columns begin with x_, may be as similar as asked."""
+    differing = sum(F.bit_count(F.col(f"b{i}").bitwiseXOR(F.col(f"x_b{i}"))) for i in range(near.fine // 64))
+    least, most = F.least("n", "x_n"), F.greatest("n", "x_n")
+    apart = differing * (100 + near.percent) <= (F.col("n") + F.col("x_n")) * (100 - near.percent)
+    fine = (most > near.few) & (differing <= near.fine - near.least_agreeing(1, near.fine, 5))
+    return (least * 100 >= most * near.percent) & F.when(F.col("exact"), apart).otherwise(fine)
 
 
 def _open(shared: DataFrame, components: DataFrame) -> DataFrame:
@@ -278,18 +309,15 @@ def near_duplicates(docs: DataFrame, near: Near = Near(), key: str = "doc_id", t
     some = written(some)
     second = _joined(nodes, first, _linked(some, known, texts, near))
 
-    # all others, tested by set sizes and fine sketches before a pair is made
+    # all others, tested by set sizes, parities and fine sketches before a pair is made
     open_rows = _open(shared, second)
     facts = written(_fine(texts.join(open_rows.select("id").distinct(), "id", "left_semi"), near))
-    theirs = [c for c in facts.columns if c != "id"]
+    theirs = [c for c in facts.columns if c not in ("id", "exact")]
     placed = open_rows.join(facts, "id")
     other = placed.where("component <> main").select(
-        "band", F.col("id").alias("x"), F.col("component").alias("cx"), *[F.col(c).alias(f"x_{c}") for c in theirs])
-    differing = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"x_{c}"))) for c in theirs[1:])
-    across = other.join(placed, "band").where(
-        (F.col("cx") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("x") < F.col("id")))
-        & (differing <= near.fine - near.least_agreeing(1, near.fine, 5))
-        & (F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * near.percent))
+        "band", "exact", F.col("id").alias("x"), F.col("component").alias("cx"), *[F.col(c).alias(f"x_{c}") for c in theirs])
+    across = other.join(placed, ["band", "exact"]).where(
+        (F.col("cx") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("x") < F.col("id"))) & _may_link(near))
     rest = _ordered(across, "x", "id").join(stars.unionByName(some), ["a", "b"], "left_anti")
     last = _joined(nodes, second, _linked(rest, known, texts, near))
 

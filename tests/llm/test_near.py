@@ -120,6 +120,49 @@ def test_estimates_similarity():
         assert np.mean(found) == pytest.approx(percent / 100, abs=0.02)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 5000), max_size=2500, unique=True), min_size=1, max_size=4))
+def test_parities_differ_in_no_more_bins_than_sets_in_elements(sets):
+    flat = sm.mixed(np.array([e for s in sets for e in s], np.uint64))
+    bits = sm.parities(flat, np.cumsum([0] + [len(s) for s in sets]), 2048)
+    for s, x in zip(sets, bits):
+        for t, y in zip(sets, bits):
+            apart, differing = len(set(s) ^ set(t)), int((x != y).sum())
+            assert differing <= apart and (apart - differing) % 2 == 0
+
+
+def test_pairs_a_little_below_the_similarity_make_no_rows(spark, monkeypatch):
+    """A template with slots: most pairs of texts are at 65 to 74 percent."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(160)]
+    cases = []
+    for i in range(300):
+        text = list(words)
+        for at in rng.choice(160, 4, replace=False):
+            text[at] = f"c{rng.integers(10**6)}"
+        cases.append((i, " ".join(text)))
+    pairs, inner = [], sm._agreeing
+
+    def counted(some, *rest):
+        pairs.append(some.count())
+        return inner(some, *rest)
+
+    monkeypatch.setattr(sm, "_agreeing", counted)
+    assert told(sm.near_duplicates(frame(spark, cases))) == plain(cases)
+    assert pairs[-1] < 3000  # of 44,850
+
+
+@pytest.mark.parametrize("n", [700, 1000, 1400])
+def test_sizes_around_the_limit_of_parities(spark, n):
+    cases, words = [], [f"w{i}" for i in range(n)]
+    for i in range(60):
+        text = list(words[:n - (i % 7) * n // 40])
+        for at in range(i, len(text), 23 + i % 5):
+            text[at] = f"c{i}_{at}"
+        cases.append((i, " ".join(text)))
+    assert told(sm.near_duplicates(frame(spark, cases))) == plain(cases)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(st.sampled_from("ab \t\n\x0b\x0c\r\x1c\x85\xa0é"), max_size=12), min_size=1, max_size=4))
 def test_words(texts):
