@@ -36,6 +36,26 @@ def test_ids_are_the_tokenizers(own, reference):
     same_ids(own, reference, ODD + list(documents().values()))
 
 
+def test_words_of_known_pieces_need_no_tokenizer(reference, monkeypatch):
+    own, asked = Encoder(tokenizer(), 2), []
+    inner = own._encode
+    monkeypatch.setattr(own, "_encode", lambda texts: asked.extend(texts) or inner(texts))
+    same_ids(own, reference, ["Wörter the, word###"])
+    before = len(asked)
+    same_ids(own, reference, ["WÖRTER### THE### Word, wörter the### Word###"])
+    own._clear_words()
+    same_ids(own, reference, ["the word, the WORD###"])
+    assert len(asked) == before
+
+
+@pytest.mark.parametrize("most", [0, 3, 40])
+def test_ids_with_a_small_memory(reference, monkeypatch, most):
+    monkeypatch.setattr("loomwire.llm.tokens._MEMORY", most)
+    own, texts = Encoder(tokenizer(), 2), ODD + list(documents().values())[:40]
+    for at in range(0, len(texts), 7):
+        same_ids(own, reference, texts[at:at + 7])
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(max_size=60), min_size=1, max_size=5))
 def test_ids_of_any_text(own, reference, texts):
