@@ -16,6 +16,8 @@ bounds); q is listed from the smaller right language and looked up in the other;
 to every prefix of s, which enumerates exactly the accepted word pairs, each once, partitioned by the initial state's
 paths (the join key is the state where the copies part). Nothing compares all pairs of a group.
 
+All these tables grow with the vocabulary, so joins merge them in the tasks; none is broadcast.
+
 Forms follow the pairs: a word's form is its near word of largest n (ties: smallest), if that n is at least twice its
 own; roots follow forms by pointer doubling (n at least doubles along a chain, so chains are short and acyclic).
 
@@ -29,7 +31,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import written
+from ..session import in_tasks, written
 from .words import ascii_lower
 
 RUN = r"[A-Za-zÀ-ÿ]+"
@@ -63,11 +65,11 @@ def acceptor(words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     state2 = F.xxhash64(F.lit("s"), *[F.col(c) for c in signed.columns[1:]])
     prefixes = written(signed.select("p", F.struct(state.alias("a"), state2.alias("b"),
                                                    F.col(signed.columns[-1]).alias("size")).alias("state")))
-    named = prefixes.alias("c").join(prefixes.alias("u"), F.expr("substring(c.p, 1, char_length(c.p) - 1)") == F.col(
-        "u.p")).where(F.char_length("c.p") > 0)
+    named = prefixes.alias("c").join(in_tasks(prefixes.alias("u")), F.expr(
+        "substring(c.p, 1, char_length(c.p) - 1)") == F.col("u.p")).where(F.char_length("c.p") > 0)
     edges = written(named.select(F.col("u.state").alias("state"), F.expr("substring(c.p, -1, 1)").alias("c"),
                                  F.col("c.state").alias("child")).distinct())
-    right = written(splits.join(prefixes, "p").select("state", "q").distinct())
+    right = written(splits.join(in_tasks(prefixes), "p").select("state", "q").distinct())
     return prefixes, edges, right
 
 
@@ -75,7 +77,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     """(a, b): every ordered pair of words one replaced, deleted or inserted code point apart."""
     prefixes, edges, right = acceptor(words.select("word"))
     x, y = edges.alias("x"), edges.alias("y")
-    replace = x.join(y, "state").where(F.col("x.c") < F.col("y.c")).select(
+    replace = x.join(in_tasks(y), "state").where(F.col("x.c") < F.col("y.c")).select(
         "state", F.col("x.c").alias("a"), F.col("y.c").alias("b"), F.col("x.child").alias("s1"),
         F.col("y.child").alias("s2"))
     delete = edges.select("state", F.col("c").alias("a"), F.lit("").alias("b"), F.col("child").alias("s1"),
@@ -84,10 +86,10 @@ def near_pairs(words: DataFrame) -> DataFrame:
     small_first = F.col("s1.size") <= F.col("s2.size")
     listed = candidates.select("*", F.when(small_first, F.col("s1")).otherwise(F.col("s2")).alias("listed"),
                                F.when(small_first, F.col("s2")).otherwise(F.col("s1")).alias("probed"))
-    suffixes = listed.join(right.withColumnRenamed("state", "listed"), "listed")
-    accepted = suffixes.join(right.withColumnRenamed("state", "probed"), ["probed", "q"], "left_semi").select(
-        "state", "a", "b", "q")
-    paths = accepted.join(prefixes, "state")
+    suffixes = listed.join(in_tasks(right.withColumnRenamed("state", "listed")), "listed")
+    probes = in_tasks(right.withColumnRenamed("state", "probed"))
+    accepted = suffixes.join(probes, ["probed", "q"], "left_semi").select("state", "a", "b", "q")
+    paths = accepted.join(in_tasks(prefixes), "state")
     # each unordered pair once: replacements are listed with a < b; a deletion inside a run of equal letters is one
     # pair reached by several paths
     forward = paths.select(F.concat("p", "a", "q").alias("a"), F.concat("p", "b", "q").alias("b")).distinct()
@@ -98,7 +100,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     """(word, root) by pointer doubling over word -> form."""
     current = written(forms.select("word", F.coalesce("form", "word").alias("root")))
     while True:
-        hop = current.alias("a").join(current.alias("b"), F.col("a.root") == F.col("b.word"), "left").select(
+        hop = current.alias("a").join(in_tasks(current.alias("b")), F.col("a.root") == F.col("b.word"), "left").select(
             F.col("a.word").alias("word"), F.col("a.root").alias("old"), F.coalesce("b.root", "a.root").alias("root"))
         step = written(hop)
         if not step.where(F.col("old") != F.col("root")).limit(1).count():
@@ -110,12 +112,12 @@ def spelling_variants(docs: DataFrame, text: str = "text", key: str = "doc_id",
     """word, form, root, n, n_near, form_n per vocabulary word. Runs Spark jobs while it is built (roots)."""
     words = written(vocabulary(docs, text, key, **rules))
     pairs = near_pairs(words)
-    scored = pairs.join(words.withColumnRenamed("word", "b").withColumnRenamed("n", "nb"), "b").groupBy(
+    scored = pairs.join(in_tasks(words.withColumnRenamed("word", "b").withColumnRenamed("n", "nb")), "b").groupBy(
         F.col("a").alias("word")).agg(F.count("*").alias("n_near"),
                                       F.min(F.struct((-F.col("nb")).alias("neg"), F.col("b").alias("b"))).alias("best"))
-    forms = written(words.join(scored, "word", "left").select(
+    forms = written(words.join(in_tasks(scored), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(-F.col("best.neg") >= ratio * F.col("n"), F.col("best.b")).alias("form"),
         F.when(-F.col("best.neg") >= ratio * F.col("n"), -F.col("best.neg")).alias("form_n")))
-    return forms.join(_roots(forms), "word").select(
+    return forms.join(in_tasks(_roots(forms)), "word").select(
         "word", "form", "root", F.col("n").cast("long").alias("n"), "n_near", F.col("form_n").cast("long").alias("form_n"))

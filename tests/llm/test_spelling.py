@@ -87,3 +87,17 @@ def test_random_small_alphabet(spark, seed):
     words = ["".join(rng.choice("abé") for _ in range(rng.randint(4, 7))) for _ in range(300)]
     rows = [(i, " ".join(rng.choice(words) for _ in range(40))) for i in range(30)]
     compare(spark, rows, frame(spark, rows))
+
+
+def test_growing_tables_are_merged_in_tasks(spark, monkeypatch):
+    """Spark takes split words for as small as the words: their broadcast filled the driver."""
+    plans, write = [], spelling.written
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(spelling, "written", noted)
+    rows = [(1, " ".join(["abcdef"] * 3 + ["abcdeg"] * 7 + ["abcdeh"] * 20 + ["xbcdeh"] * 60))]
+    noted(spelling.spelling_variants(frame(spark, rows)))
+    assert len(plans) > 6 and not [p for p in plans if "Broadcast" in p]
