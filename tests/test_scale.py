@@ -32,6 +32,26 @@ def test_worker_returns_numbers_of_keywords(spark):
     assert rows == {1: [(None, "e", "b"), (1, "c", "Ab"), (2, None, "ab")], 2: [], 3: []}
 
 
+def test_workers_list_the_rows_of_a_long_list(spark, monkeypatch):
+    words = ("Ab", "ab", "b", "", "É é")
+    rows = [(None if n % 7 == 0 else n // 2, (None, "c", "B", "é")[n % 4], words[n % 5] if n % 11 else f"x{n}")
+            for n in range(1_500)]
+    seed = spark.createDataFrame([*rows, (1, "none", None)], "ord int, category string, keyword string")
+    docs = spark.createDataFrame([(n, ("xabx", None, "", "É é x33", "b x44 x1")[n % 5], "t") for n in range(3_000)],
+                                 "id long, text string, tags string")
+    long = K.with_matches(docs, F.lower("text"), seed)
+    assert "transform(" not in plan(long)  # an expression takes a microsecond for each row found
+    monkeypatch.setattr(K, "_PLACES", 2_000)
+    some = K.with_matches(docs, F.lower("text"), seed, whole_word=True)
+    monkeypatch.setattr(K, "_SHORT", 2_000)
+    for df, words in (long, False), (some, True):
+        short = K.with_matches(docs.limit(10), F.lower("text"), seed, whole_word=words)
+        assert df.columns == short.columns and "transform(" in plan(short)
+        assert df.dtypes == short.dtypes and df.count() == 3_000
+        of = {r["text"]: r[1:] for r in df.collect()}
+        assert of == {r["text"]: r[1:] for r in short.collect()}
+
+
 def test_search_of_a_long_text(spark):
     docs = spark.createDataFrame([(1, "abcdefghij é" * 40_000)], "id long, text string")
     terms = spark.createDataFrame([("j éabc",), ("é",), ("zz",), ("ja",)], "t string")
