@@ -14,6 +14,7 @@ from ..functions.text import decode_entities, html_to_text
 from ..operators import counts as C
 from ..operators.crawl import crawl_positions
 from ..plans.products import product_report, with_tokens
+from ..session import written
 from ..sources import listings as L
 from ..sources.feeds import summary_choice
 from . import views as V
@@ -118,7 +119,8 @@ def crawl_order(spark: SparkSession, d: str) -> DataFrame:
     marked = pages.withColumn("_t", target).join(urls, "_t", "left").select(
         "url", _c(F.coalesce("html", F.lit("")), '<a aria-label="next" href="', F.coalesce("_t_url", F.lit("")),
                   '">Next</a>').alias("html"))
-    links = marked.select(F.col("url").alias("page"), H.next_page("html", "url").alias("next"))
+    # read three times below, so texts are moved and parsed once
+    links = written(marked.select(F.col("url").alias("page"), H.next_page("html", "url").alias("next")))
     starts = links.select(F.col("page").alias("start")).join(
         links.select(F.col("next").alias("start")), "start", "left_anti")
     return crawl_positions(links, starts).select("start", "page", F.col("position").cast("long").alias("position"))

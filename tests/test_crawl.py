@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from loomwire.operators import crawl
 from loomwire.operators.crawl import crawl_positions
 
 
@@ -36,3 +37,21 @@ def test_random_functional_graphs(spark):
                crawl_positions(df, spark.createDataFrame([(s,) for s in starts], "start string")).collect()}
         want = {(s, p): k for s in set(starts) if s in links for p, k in walk(links, s).items()}
         assert got == want
+
+
+def test_cycles_are_listed_once(spark, monkeypatch):
+    """Walks around a cycle went on until their steps passed the number of pages; each level wrote all rows again."""
+    rows, write = [], crawl.written
+
+    def counted(df):
+        out = write(df)
+        rows.append(out.count() if "step" in out.columns else 0)
+        return out
+
+    monkeypatch.setattr(crawl, "written", counted)
+    links = {f"p{c}-{n}": f"p{c}-{n + 1 if n < 7 else 5}" for c in range(40) for n in range(8)}
+    starts = [f"p{c}-{n}" for c in range(40) for n in (0, 6)]
+    df = spark.createDataFrame(list(links.items()), "page string, next string")
+    got = crawl_positions(df, spark.createDataFrame([(s,) for s in starts], "start string")).collect()
+    want = {(s, p): k for s in starts for p, k in walk(links, s).items()}
+    assert {(r["start"], r["page"]): r["position"] for r in got} == want and len(got) == len(want) == sum(rows)
