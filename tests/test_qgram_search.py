@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from compare import connect, difference
 import __spark_entry__ as entry
+from loomwire.operators import qgram_search
 from loomwire.operators.qgram_search import search_terms
 
 
@@ -39,3 +40,22 @@ def test_registered_query_equals_sql_on_sf001(spark):
     sf = "/root/testdata/sf0.01"
     query = entry.queries()["search_term_table"](spark, sf)
     assert difference(query, connect(sf), entry.oracle_sql()["search_term_table"]) is None
+
+
+def test_postings_and_hits_stay_in_the_tasks(spark, monkeypatch):
+    """Postings of all texts were written and candidates shuffled, many times the texts' size."""
+    stored, write = [], qgram_search.written
+    monkeypatch.setattr(qgram_search, "written", lambda df: stored.append(df.columns) or write(df))
+    monkeypatch.setattr(qgram_search, "_TERMS", 4)
+    texts = [(1, "abcde"), (2, "xabc"), (3, None), (4, "bé a"), (None, "abc")]
+    docs = spark.createDataFrame(texts, "id long, text string")
+    words = ["a", "ab", "abc", "abcd", "bcde", "xabc", "xab ", "bé a", "é", "zz", "abce", None]
+    terms = spark.createDataFrame([(w,) for w in words], "t string")
+    found = search_terms(docs, "id", "text", terms, "t", "t")
+    assert not [c for c in stored if "_doc" in c]
+    assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    want = sorted((w, d) for w in words if w for d, t in texts if d and t and w in t)
+    assert sorted(map(tuple, found.collect())) == want
+    twice = docs.unionByName(spark.createDataFrame([(1, "abc zz")], docs.schema))
+    got = sorted(map(tuple, search_terms(twice, "id", "text", terms, "t", "t").collect()))
+    assert got == sorted({*want, ("zz", 1)})
